@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+TYPES = {
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "TINYINT": T.ByteType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from 'name TYPE, ...', without needing a session at import time."""
+    fields = [field.split() for field in spec.split(",")]
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in fields])
 
 
 # Labels, in order of precedence, one per raw row.
