@@ -160,11 +160,6 @@ def utc_hour(local_ts: Column, tz: str) -> Column:
     return F.date_trunc("hour", F.to_utc_timestamp(local_ts, tz))
 
 
-def hour_number(ts: Column) -> Column:
-    """Hours since the epoch, an integral ordering key for time-range frames."""
-    return F.floor(F.unix_seconds(ts) / 3600)
-
-
 def in_anomaly(local_ts: Column, anomalies: tuple[LocalAnomaly, ...], kind: str) -> Column:
     """True when the wall time falls in a listed clock change; literal ranges only."""
     hit = F.lit(False)

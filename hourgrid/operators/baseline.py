@@ -11,38 +11,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.errors import ParameterError
-from hourgrid.functions.calendar import hour_number
 from hourgrid.functions.scoring import absolute_error, clip_at_zero
 from hourgrid.schemas import BASELINE_PREDICTIONS, FALLBACK_SOURCES
 
 SEASONAL_LAG_HOURS = 168
 
 
-def zone_timeline() -> Window:
-    return Window.partitionBy("zone_id").orderBy("__hour")
+def timeline() -> Window:
+    return Window.partitionBy("zone_id").orderBy("target_hour_utc")
 
 
 def lag_by_hours(value: str, hours: int) -> Column:
-    """Value of the same zone exactly this many hours earlier, NULL when there is none."""
-    return F.max(value).over(zone_timeline().rangeBetween(-hours, -hours))
+    """Value of the same zone exactly this many hours earlier, NULL when there is none.
+
+    A time-range frame, so it stays right on frames with missing hours.
+    """
+    back = f"INTERVAL '{hours}' HOUR PRECEDING"
+    return F.expr(
+        f"max({value}) OVER (PARTITION BY zone_id ORDER BY target_hour_utc "
+        f"RANGE BETWEEN {back} AND {back})"
+    )
 
 
 def with_history(assigned: DataFrame, lag_hours: int = SEASONAL_LAG_HOURS) -> DataFrame:
     """Seasonal lag, mean of strictly earlier rows and mean of the train rows, per zone."""
     if lag_hours <= 0:
         raise ParameterError("seasonal lag must be a positive number of hours")
-    earlier = zone_timeline().rowsBetween(Window.unboundedPreceding, -1)
+    earlier = timeline().rowsBetween(Window.unboundedPreceding, -1)
     train = F.when(F.col("split") == "train", F.col("trip_count"))
-    return (
-        assigned.withColumn("__hour", hour_number(F.col("target_hour_utc")))
-        .withColumns(
-            {
-                "seasonal_lag_trip_count": lag_by_hours("trip_count", lag_hours),
-                "prior_zone_mean": F.avg("trip_count").over(earlier),
-                "train_zone_mean": F.avg(train).over(Window.partitionBy("zone_id")),
-            }
-        )
-        .drop("__hour")
+    return assigned.withColumns(
+        {
+            "seasonal_lag_trip_count": lag_by_hours("trip_count", lag_hours),
+            "prior_zone_mean": F.avg("trip_count").over(earlier),
+            "train_zone_mean": F.avg(train).over(Window.partitionBy("zone_id")),
+        }
     )
 
 

@@ -188,12 +188,16 @@ class Workload:
 
     @property
     def grid(self) -> DataFrame:
+        return self.grid_in()
+
+    def grid_in(self, partitions: int | None = None) -> DataFrame:
         cells, lookup = self.usable, self.lookup
         return complete_grid(
             service_entities(lookup, SPECIAL),
             coverage_status(cells, self.window),
             hourly_counts(label_cells(cells, lookup, SPECIAL)),
             self.window,
+            partitions,
         )
 
     @property

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,21 +64,28 @@ def write_sorted(
     path: str,
     partition_by: str | None = None,
     partitions: int | None = None,
-) -> None:
-    """Write Parquet (ZSTD) in global (hour, zone) order.
+) -> int:
+    """Write Parquet (ZSTD) in global (hour, zone) order; returns the rows of the plan.
 
     Range partitions keep hours together, so a filter on the hour skips files
-    and row groups.
+    and row groups. Rows are counted above the range exchange, past the sampling
+    that chooses its bounds.
     """
     require_utc(df.sparkSession)
     order = ["target_hour_utc", "zone_id"]
     lead = [partition_by] if partition_by else []
     args = [partitions] if partitions else []
     ordered = df.repartitionByRange(*args, *lead, *order).sortWithinPartitions(*lead, *order)
-    writer = ordered.write.mode("overwrite").option("compression", "zstd")
+    seen = Observation()
+    writer = (
+        ordered.observe(seen, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .option("compression", "zstd")
+    )
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+    return seen.get["rows"]
 
 
 def check_written(
