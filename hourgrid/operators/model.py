@@ -193,6 +193,9 @@ def select_candidate(
         raise ParameterError(f"give 1 to {MAX_CANDIDATES} candidates with distinct names")
     train = prepared.where(F.col("split") == "train")
     validation = prepared.where(F.col("split") == "validation")
+    for name, rows in (("train", train), ("validation", validation)):
+        if rows.isEmpty():
+            raise ContractError(f"split {name} has no eligible rows")
     metrics, tables, rounds = None, {}, {}
     for candidate in candidates:
         model, kept = fit_candidate(
