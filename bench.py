@@ -1,7 +1,8 @@
 """Time the stages of a backtest at BENCH_SF_DIR; prints one JSON line.
 
 Each stage reads the tables the stage before has written, as a production run
-does. Every query runs once untimed on the same tables, then is timed.
+does. Every query runs twice untimed on the same tables; the median of three
+timed runs counts. Model selection runs once.
 """
 
 from __future__ import annotations
@@ -34,9 +35,10 @@ def drain(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(build: Callable[[], DataFrame], repeats: int = 1) -> float:
-    """Median seconds of a run after one untimed run."""
-    drain(build())
+def timed(build: Callable[[], DataFrame], repeats: int = 3) -> float:
+    """Median seconds of a run after two untimed runs."""
+    for _ in range(2):
+        drain(build())
     seconds = []
     for _ in range(repeats):
         started = time.perf_counter()

@@ -38,7 +38,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def rounded(value: Column, digits: int = 6) -> Column:
-    return F.round(value.cast("double"), digits)
+    """Round half up; the sum with 0.0 turns a rounded -0.0 into 0.0."""
+    return F.round(value.cast("double"), digits) + F.lit(0.0)
 
 
 def count_where(condition: Column) -> Column:

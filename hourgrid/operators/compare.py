@@ -262,8 +262,7 @@ def subgroup_metrics(comparison: DataFrame, *keys: str) -> DataFrame:
             f"{side}_overprediction_rows",
         ]
     gain = rounded(F.col("__baseline_mae") - F.col("__model_mae"), 12)
-    # x + 0.0 turns a rounded -0.0 into 0.0.
-    columns.append((gain + F.lit(0.0)).alias("mae_improvement"))
+    columns.append(gain.alias("mae_improvement"))
     return comparison.groupBy(*keys).agg(*aggregates).select(*columns)
 
 
