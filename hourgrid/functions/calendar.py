@@ -160,6 +160,38 @@ def utc_hour(local_ts: Column, tz: str) -> Column:
     return F.date_trunc("hour", F.to_utc_timestamp(local_ts, tz))
 
 
+def utc_offset_seconds(local_ts: Column, window: LocalWindow) -> Column:
+    """UTC offset in force at a wall time of the window, from literal change points.
+
+    Skipped and repeated wall times have no single offset; they are to be
+    rejected beforehand.
+    """
+    changes = list(offset_changes(window.start, window.end, window.tz))
+    if not changes:
+        offset = window.start.replace(tzinfo=ZoneInfo(window.tz)).utcoffset()
+        return F.lit(int(offset.total_seconds()))
+    at, before, after = changes[-1]
+    cases = F.when(local_ts >= ntz(at.replace(tzinfo=None) + before), int(after.total_seconds()))
+    for at, before, after in reversed(changes[:-1]):
+        wall = ntz(at.replace(tzinfo=None) + before)
+        cases = cases.when(local_ts >= wall, int(after.total_seconds()))
+    return cases.otherwise(int(changes[0][1].total_seconds()))
+
+
+def utc_hour_number(local_ts: Column, window: LocalWindow) -> Column:
+    """UTC hours since the epoch of a usable wall time of the window.
+
+    Same bucket as utc_hour, from integer arithmetic: no time-zone lookup per
+    row, and an integer to group by.
+    """
+    seconds = F.unix_seconds(local_ts.cast("timestamp")) - utc_offset_seconds(local_ts, window)
+    return F.floor(seconds / 3600)
+
+
+def hour_of_number(number: Column) -> Column:
+    return F.timestamp_seconds(number * 3600)
+
+
 def in_anomaly(local_ts: Column, anomalies: tuple[LocalAnomaly, ...], kind: str) -> Column:
     """True when the wall time falls in a listed clock change; literal ranges only."""
     hit = F.lit(False)

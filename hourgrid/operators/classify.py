@@ -13,7 +13,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.functions.calendar import LocalWindow, in_anomaly, instant, ntz, utc_hour
+from hourgrid.functions.calendar import (
+    LocalWindow,
+    hour_of_number,
+    in_anomaly,
+    ntz,
+    utc_hour_number,
+)
 from hourgrid.functions.scoring import (
     SPECIAL_BOROUGHS,
     SPECIAL_SERVICE_ZONES,
@@ -101,7 +107,7 @@ def time_cells(
     month = None if month_col is None else F.col(month_col)
     rejected = time_disposition(ts, window, month)
     zone = F.when(rejected.isNull(), F.col(zone_col).cast("int"))
-    hour = F.when(rejected.isNull(), utc_hour(ts, window.tz))
+    hour = F.when(rejected.isNull(), utc_hour_number(ts, window))
     return _counted(events, zone, hour, window, month, {"rejected": rejected})
 
 
@@ -125,8 +131,8 @@ def usable_cells(
     for kind in ("nonexistent", "ambiguous"):
         rows = rows.where(~in_anomaly(ts, window.anomalies, kind))
     # The hour of a row in the window is never NULL; saying so keeps later joins
-    # on it from adding a NULL test that would convert every timestamp twice.
-    hour = F.coalesce(utc_hour(ts, window.tz), instant(window.utc_start))
+    # on it from adding a NULL test that would compute it twice per row.
+    hour = F.coalesce(utc_hour_number(ts, window), F.lit(0))
     return _counted(rows, F.col(zone_col).cast("int"), hour, window, month, {})
 
 
@@ -138,7 +144,7 @@ def _counted(
     month: Column | None,
     labels: dict[str, Column],
 ) -> DataFrame:
-    """Cells (zone_missing, zone_id, target_hour_utc, labels..., cell_rows, source_month).
+    """Cells (zone_missing, zone_id, labels..., cell_rows, target_hour_utc, source_month).
 
     A missing zone is a flag beside zone_id 0. With a zone_id that is never NULL
     no join adds a NULL filter below the aggregate, so the coverage and the
@@ -147,7 +153,7 @@ def _counted(
     keys = {
         "zone_missing": zone.isNull(),
         "zone_id": F.coalesce(zone, F.lit(0)),
-        "target_hour_utc": hour,
+        "hour_number": hour,
         **labels,
     }
     if month is not None:
@@ -156,6 +162,8 @@ def _counted(
         rows.select(*[column.alias(name) for name, column in keys.items()])
         .groupBy(*keys)
         .agg(F.count("*").alias("cell_rows"))
+        .withColumn("target_hour_utc", hour_of_number(F.col("hour_number")))
+        .drop("hour_number")
     )
     if month is None:
         cells = cells.withColumn("source_month", F.lit(window.label))

@@ -9,10 +9,13 @@ from hourgrid.errors import ParameterError
 from hourgrid.functions.calendar import (
     LocalWindow,
     dst_calendar,
+    hour_of_number,
     hour_series,
     local_anomalies,
     local_hour_kind,
+    ntz,
     utc_hour,
+    utc_hour_number,
 )
 
 
@@ -93,3 +96,30 @@ def test_utc_hour_matches_zoneinfo(spark, tz):
         for t in times
     ]
     assert got == want
+
+
+@pytest.mark.parametrize("tz", [TZ, "Asia/Kolkata", "Australia/Lord_Howe", "Europe/Berlin"])
+def test_hour_arithmetic_agrees_with_the_time_zone_functions(spark, tz):
+    window = LocalWindow(datetime(2024, 1, 1), datetime(2026, 1, 1), tz)
+    changes = [t for a in window.anomalies for t in (a.start, a.end)]
+    df = (
+        spark.range(2 * 365 * 24 * 3)
+        .select(F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 1199).alias("t"))
+        .select(F.col("t").cast("timestamp_ntz"))
+        .where(local_hour_kind(F.col("t"), tz).isNull() if tz != "Australia/Lord_Howe" else F.lit(True))
+    )
+    for low, high in zip(changes[::2], changes[1::2]):
+        df = df.where((F.col("t") < ntz(low)) | (F.col("t") >= ntz(high)))
+    if tz == "Australia/Lord_Howe":
+        # Half an hour is skipped before the half-hour mark of its slot.
+        df = df.where(F.date_format("t", "MMdd") != "1006").where(F.date_format("t", "MMdd") != "1005")
+    fast = hour_of_number(utc_hour_number(F.col("t"), window))
+    assert df.count() > 40000
+    assert df.where(fast != utc_hour(F.col("t"), tz)).isEmpty()
+
+
+def test_hour_arithmetic_before_the_epoch(spark):
+    window = LocalWindow(datetime(1969, 12, 1), datetime(1969, 12, 31), TZ)
+    df = spark.createDataFrame([(datetime(1969, 12, 30, 23, 59, 59),)], "t timestamp_ntz")
+    hour = hour_of_number(utc_hour_number(F.col("t"), window)).cast("timestamp_ntz")
+    assert df.select(hour).first()[0] == datetime(1969, 12, 31, 4)
