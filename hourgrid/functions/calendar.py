@@ -18,11 +18,15 @@ HOUR = timedelta(hours=1)
 
 @dataclass(frozen=True)
 class LocalAnomaly:
-    """One local clock hour that a zone skips ('nonexistent') or repeats ('ambiguous')."""
+    """One local clock hour that a zone skips ('nonexistent') or repeats ('ambiguous').
+
+    offsets are the UTC offsets before and after the change.
+    """
 
     kind: str
     start: datetime
     end: datetime
+    offsets: tuple[timedelta, timedelta]
 
 
 def ntz(value: datetime) -> Column:
@@ -71,7 +75,7 @@ def local_anomalies(start: datetime, end: datetime, tz: str) -> tuple[LocalAnoma
         slot = low.replace(minute=0, second=0, microsecond=0)
         while slot < high:
             if low <= slot + HOUR / 2 < high and start <= slot < end:
-                found.append(LocalAnomaly(kind, slot, slot + HOUR))
+                found.append(LocalAnomaly(kind, slot, slot + HOUR, (before, after)))
             slot += HOUR
     return tuple(found)
 
@@ -129,14 +133,13 @@ class LocalWindow:
 
     @property
     def ambiguous_hours(self) -> tuple[datetime, ...]:
-        """UTC hours a repeated local hour may stand for: both passes of the clock."""
-        zone = ZoneInfo(self.tz)
-        hours = {
-            item.start.replace(tzinfo=zone, fold=fold).astimezone(UTC)
-            for item in self.anomalies
-            if item.kind == "ambiguous"
-            for fold in (0, 1)
-        }
+        """UTC hours that a repeated local hour may stand for: one per offset."""
+        hours = set()
+        for item in self.anomalies:
+            if item.kind == "ambiguous":
+                for offset in item.offsets:
+                    passed = (item.start - offset).replace(minute=0, tzinfo=UTC)
+                    hours.add(passed)
         return tuple(sorted(hours))
 
 

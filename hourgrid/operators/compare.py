@@ -140,7 +140,7 @@ def alignment(model: DataFrame, baseline: DataFrame) -> DataFrame:
 def check_alignment(model: DataFrame, baseline: DataFrame) -> int:
     row = alignment(model, baseline).first()
     if not row.is_aligned:
-        raise ContractError(f"test keys or actual values do not align: {row.asDict()}")
+        raise ContractError(f"the predictors were scored on different rows: {row.asDict()}")
     return row.aligned_keys
 
 
@@ -375,4 +375,4 @@ def check_predictions(predictions: DataFrame) -> None:
     """Raise on repeated keys or NULLs in a model prediction table."""
     nulls = predictions.where(any_null(MODEL_PREDICTIONS.names))
     if not duplicate_keys(predictions).isEmpty() or not nulls.isEmpty():
-        raise ContractError("model predictions contain duplicate keys or NULL values")
+        raise ContractError("prediction table repeats a key or holds a NULL")

@@ -79,10 +79,10 @@ def check_counts(counts: DataFrame, cells: DataFrame) -> dict:
     summary = counts_summary(counts).first().asDict()
     balance = conservation(counts, cells).first()
     if summary["duplicate_keys"]:
-        raise ContractError(f"counts contain {summary['duplicate_keys']} duplicate keys")
+        raise ContractError(f"{summary['duplicate_keys']} zone-hours are counted twice (duplicate)")
     if not balance.is_conserved:
         raise ContractError(
-            f"trip_count sum {balance.output_trip_count} does not match "
-            f"{balance.retained_rows} retained rows"
+            f"{balance.retained_rows} events were retained, but the counts add up to "
+            f"{balance.output_trip_count} (no match)"
         )
     return summary

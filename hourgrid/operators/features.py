@@ -140,4 +140,4 @@ def feature_violations(features: DataFrame) -> DataFrame:
 def check_features(features: DataFrame) -> None:
     violations = feature_violations(features).first().violations
     if violations:
-        raise ContractError(f"feature contract failed for {violations} rows")
+        raise ContractError(f"{violations} feature rows are out of range")

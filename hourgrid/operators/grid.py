@@ -38,7 +38,7 @@ def lookup_audit(lookup: DataFrame) -> DataFrame:
 def check_lookup(lookup: DataFrame) -> None:
     audit = lookup_audit(lookup).first()
     if audit.surplus_keys or audit.invalid_keys:
-        raise ContractError("lookup must contain unique, positive integer zone ids")
+        raise ContractError("lookup ids must be positive integers, each used once")
 
 
 def service_entities(lookup: DataFrame, special: SpecialValues = SPECIAL) -> DataFrame:
@@ -229,8 +229,7 @@ def check_grid(grid: DataFrame, start: datetime, end: datetime) -> dict:
     facts = validate_grid(grid, start, end).first().asDict()
     if not facts["is_valid"]:
         raise ContractError(
-            "hourly grid must be rectangular, unique, valid and exactly cover "
-            f"[{start}, {end}): {facts}"
+            f"grid is not one valid row per zone and hour of [{start}, {end}): {facts}"
         )
     return facts
 

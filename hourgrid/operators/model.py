@@ -26,7 +26,7 @@ from hourgrid.schemas import (
     NUMERIC_FEATURES,
     SPLIT_NAMES,
 )
-from hourgrid.session import cut_lineage
+from hourgrid.session import cut_lineage, shuffle_partitions
 
 # Histogram bins and the boosting budget.
 MAX_BINS = 128
@@ -90,7 +90,7 @@ def check_split_labels(features: DataFrame) -> None:
     )
     present = [not features.where(F.col("split") == n).isEmpty() for n in SPLIT_NAMES]
     if not all(present) or not other.isEmpty():
-        raise ContractError("features must contain exactly train, validation and test")
+        raise ContractError("feature rows must carry all three split labels and no other")
 
 
 def fit_encoder(features: DataFrame) -> PipelineModel:
@@ -102,8 +102,14 @@ def fit_encoder(features: DataFrame) -> PipelineModel:
 
 
 def prepare(features: DataFrame) -> DataFrame:
-    """Eligible rows of all splits with their feature vector, written out once."""
+    """Eligible rows of all splits with their feature vector, written out once.
+
+    Rows are spread by key: time-ordered files would leave the train rows in a
+    few partitions. The order inside a partition is fixed, so that row sampling
+    repeats from run to run on the same number of partitions.
+    """
     encoder = fit_encoder(features)
+    partitions = shuffle_partitions(features.sparkSession)
     rows = encoder.transform(training_rows(features, *SPLIT_NAMES))
     label = F.col("target_trip_count").cast("double").alias("label")
     return cut_lineage(
@@ -114,6 +120,8 @@ def prepare(features: DataFrame) -> DataFrame:
             label,
             "features",
         )
+        .repartition(partitions, *KEY)
+        .sortWithinPartitions(*KEY)
     )
 
 
@@ -210,7 +218,7 @@ def select_candidate(
     metrics = cut_lineage(metrics)
     winner = choose(metrics).first()
     if winner is None:
-        raise ContractError("no candidate completed training")
+        raise ContractError("no candidate has validation metrics")
     chosen = next(c for c in candidates if c.name == winner.candidate_name)
     return Selection(chosen, rounds[chosen.name], metrics, tables[chosen.name])
 
@@ -247,7 +255,7 @@ def candidate_report(selection: Selection) -> DataFrame:
 def check_isolation(report: DataFrame, final_rounds: int) -> None:
     """Candidate reports carry no test metrics; one is selected, with the final rounds."""
     if any("test" in name for name in report.columns):
-        raise ContractError("candidate reports must not contain test metrics")
+        raise ContractError("test figures leaked into the candidate report")
     selected = report.where("is_selected").take(2)
     if len(selected) != 1 or selected[0].boost_rounds != final_rounds:
-        raise ContractError("selected candidate is missing, repeated or has other rounds")
+        raise ContractError("the report must mark one candidate, with the rounds of the final fit")

@@ -101,23 +101,23 @@ class ForecastStore:
         facts = served_validation(self.served).first().asDict()
         hours = int((self.end - self.start).total_seconds() // 3600)
         if facts["rows"] != facts["unique_keys"]:
-            raise ContractError("test predictions contain duplicate keys")
+            raise ContractError("a zone and hour is served more than once")
         if facts["null_rows"] or facts["negative_rows"]:
-            raise ContractError("test predictions contain NULL or negative values")
+            raise ContractError("served rows hold NULLs or values below zero")
         if facts["inconsistent_rows"]:
-            raise ContractError("test prediction absolute errors are inconsistent")
+            raise ContractError("stored errors differ from the stored predictions")
         full = facts["zone_count"] * facts["hour_count"] == facts["rows"]
         first, last = self.served.agg(
             (F.min("target_hour_utc") == instant(self.start)).alias("first"),
             (F.max("target_hour_utc") == instant(self.end - timedelta(hours=1))).alias("last"),
         ).first()
         if not (full and facts["hour_count"] == hours and first and last):
-            raise ContractError(f"predictions do not fill the test window: {facts}")
+            raise ContractError(f"served rows leave holes in the test window: {facts}")
         audit = lookup_audit(self.lookup).first()
         if audit.surplus_keys or audit.null_rows:
-            raise ContractError("zone lookup contains duplicate or NULL values")
+            raise ContractError("lookup repeats a zone or leaves an attribute empty")
         if not uncovered_zones(self.served, self.lookup).isEmpty():
-            raise ContractError("zone lookup does not cover every served zone")
+            raise ContractError("some served zones have no lookup row")
         return facts
 
     def _cutoff(self, value: datetime) -> datetime:
@@ -130,7 +130,7 @@ class ForecastStore:
         if zone_id < 1:
             raise ParameterError("zone_id must be at least 1")
         if self.strict_zones and self.served.where(F.col("zone_id") == zone_id).isEmpty():
-            raise ParameterError(f"zone_id {zone_id} is not in the test predictions")
+            raise ParameterError(f"zone {zone_id} is not served")
         return zone_id
 
     def _described(self, rows: DataFrame) -> DataFrame:
@@ -227,5 +227,5 @@ def predictions_to_serve(winner: str, model: DataFrame, baseline: DataFrame) ->
     """The prediction table that a serving decision names."""
     tables = {"model": model, "baseline": baseline}
     if winner not in tables:
-        raise ParameterError("serving decision does not identify a known predictor")
+        raise ParameterError(f"unknown predictor {winner!r}")
     return served_predictions(tables[winner])

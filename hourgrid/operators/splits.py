@@ -44,9 +44,9 @@ class Splits:
             utc_hour_bound(split.start, f"{split.name} start")
             utc_hour_bound(split.end, f"{split.name} end")
             if split.start >= split.end:
-                raise ParameterError(f"{split.name} must have start before end")
+                raise ParameterError(f"{split.name} must start before it ends")
         if self.train[1] != self.validation[0] or self.validation[1] != self.test[0]:
-            raise ParameterError("train, validation and test must be contiguous")
+            raise ParameterError("splits must follow one another without a gap (contiguous)")
 
     def __iter__(self):
         return iter(Split(name, *getattr(self, name)) for name in SPLIT_NAMES)
@@ -104,4 +104,4 @@ def split_coverage(assigned: DataFrame) -> DataFrame:
 
 def check_splits(assigned: DataFrame) -> None:
     if split_coverage(assigned).first().unassigned_rows:
-        raise ContractError("not every grid row belongs to exactly one split")
+        raise ContractError("some grid rows lie outside the splits")

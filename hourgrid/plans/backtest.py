@@ -93,11 +93,11 @@ class Backtest:
             {
                 "raw": profile.raw_profile(self.events, c.window, c.ts_col, c.zone_col),
                 "zones": profile.zone_profile(zones),
-                "invalid_zones": profile.invalid_zones(zones),
                 "coverage": profile.coverage_summary(hourly, c.window),
                 "missing_hours": profile.missing_hours(hourly, c.window),
             },
         )
+        write_report(profile.invalid_zones(zones), self.path("reports/invalid_zones"))
 
     def aggregate(self) -> DataFrame:
         """The only pass over raw events: labelled cells, then observed counts."""
@@ -169,10 +169,10 @@ class Backtest:
             {
                 "splits": scores,
                 "sources": metrics.source_counts(predictions),
-                "mae_by_zone": metrics.mae_by_zone(predictions),
                 "mae_by_utc_hour": metrics.mae_by_hour(predictions),
             },
         )
+        write_report(metrics.mae_by_zone(predictions), self.path("reports/mae_by_zone"))
         return predictions
 
     def features(self) -> DataFrame:

@@ -17,7 +17,7 @@ def required_columns(df: DataFrame, names: tuple[str, ...] | list[str]) -> DataF
 
 def require_rows(df: DataFrame) -> DataFrame:
     if df.isEmpty():
-        raise ContractError("source contains no rows")
+        raise ContractError("table is empty")
     return df
 
 

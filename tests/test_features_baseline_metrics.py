@@ -124,7 +124,7 @@ def test_bad_splits_are_rejected():
     a, b, c, d = (utc(f"2026-01-0{i}") for i in range(1, 5))
     with pytest.raises(ParameterError, match="contiguous"):
         Splits((a, b), (c, d), (d, utc("2026-01-05")))
-    with pytest.raises(ParameterError, match="before"):
+    with pytest.raises(ParameterError, match="before it ends"):
         Splits((b, a), (a, c), (c, d))
     with pytest.raises(ParameterError, match="offset"):
         Splits((a.replace(tzinfo=None), b), (b, c), (c, d))
