@@ -8,6 +8,7 @@ the lookup join runs on cells, whether Spark broadcasts the lookup or not.
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,12 +46,27 @@ def lookup_flags(lookup: DataFrame, special: SpecialValues = SPECIAL) -> DataFra
     )
 
 
+def in_source_month(ts: Column, window: LocalWindow, month: Column) -> Column:
+    """True when the time lies in the local month the row's source is named after.
+
+    Literal month bounds, so no timestamp is formatted per row.
+    """
+    hit = F.lit(False)
+    first = window.start.replace(day=1, hour=0)
+    while first < window.end:
+        following = (first + timedelta(days=32)).replace(day=1)
+        inside = (ts >= ntz(first)) & (ts < ntz(following))
+        hit = hit | ((month == first.strftime("%Y-%m")) & inside)
+        first = following
+    return F.coalesce(hit, F.lit(False))
+
+
 def outside_window(ts: Column, window: LocalWindow, month: Column | None) -> Column:
     """True outside the local window, or outside the row's own source month."""
     outside = (ts < ntz(window.start)) | (ts >= ntz(window.end))
     if month is None:
         return outside
-    return outside | (F.date_format(ts, "yyyy-MM") != month)
+    return outside | ~in_source_month(ts, window, month)
 
 
 def time_disposition(ts: Column, window: LocalWindow, month: Column | None = None) -> Column:
@@ -127,7 +143,7 @@ def usable_cells(
     month = None if month_col is None else F.col(month_col)
     rows = events.where((ts >= ntz(window.start)) & (ts < ntz(window.end)))
     if month is not None:
-        rows = rows.where(F.date_format(ts, "yyyy-MM") == month)
+        rows = rows.where(in_source_month(ts, window, month))
     for kind in ("nonexistent", "ambiguous"):
         rows = rows.where(~in_anomaly(ts, window.anomalies, kind))
     # The hour of a row in the window is never NULL; saying so keeps later joins

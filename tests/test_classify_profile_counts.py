@@ -142,6 +142,9 @@ def test_source_months_bound_their_own_rows(spark):
         ("2026-03", 1, 1, 0),
         ("all", 3, 2, 1),
     ]
+    unnamed = raw.withColumn("source_month", F.lit(None).cast("string"))
+    labels = classify.label_dispositions(unnamed, dimension(spark), window, month_col="source_month")
+    assert labels.where("disposition <> 'outside_month'").isEmpty()
     usable = classify.usable_cells(raw, window, month_col="source_month")
     assert usable.agg(F.sum("cell_rows")).first()[0] == 2
 
