@@ -29,15 +29,16 @@ TREE = ["domain", "lang", "source"]
 class Mix:
     """Budget, limits and weights. A node that is not listed weighs default_weight.
 
-    weights has paths as keys: ("news",), ("news", "en"), ("news", "en", "site").
+    weights has paths as keys: ("news",), ("news", "en"), ("news", "en", "site"). They
+    are whole numbers, so that their sums are exact in any order.
     """
 
     budget_tokens: int | None = None
     budget_share: float = 0.5
     max_epochs: int = 4
     seed: int = 17
-    weights: dict[tuple[str, ...], float] = field(default_factory=dict)
-    default_weight: float = 1.0
+    weights: dict[tuple[str, ...], int] = field(default_factory=dict)
+    default_weight: int = 1
 
 
 def word_count(text: Column) -> Column:
@@ -84,13 +85,13 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
 
 
 def _weight(path: list[str], mix: Mix) -> Column:
-    weight = F.lit(float(mix.default_weight))
+    weight = F.lit(mix.default_weight).cast("long")
     for names, value in mix.weights.items():
         if len(names) == len(path):
             here = F.lit(True)
             for column, name in zip(path, names):
                 here = here & F.col(column).eqNullSafe(F.lit(name))
-            weight = F.when(here, F.lit(float(value))).otherwise(weight)
+            weight = F.when(here, F.lit(value).cast("long")).otherwise(weight)
     return weight
 
 
@@ -111,11 +112,11 @@ def water_level(children: DataFrame, parent: list[str], path: list[str]) -> Data
             "weights": F.sum("weight").over(onward),
         }
     )
-    level = (F.col("given") - F.col("used")) / F.nullif("weights", F.lit(0.0))
+    level = (F.col("given") - F.col("used")) / F.nullif(F.col("weights"), F.lit(0))
     ordered = ordered.withColumn("full", F.coalesce(F.col("ratio") <= level, F.lit(False)))
-    # The water level is that of the first child that is not full.
+    # The water level is that of the first child that is not full; later ones have less.
     whole = Window.partitionBy(*parent)
-    ordered = ordered.withColumn("level", F.min(F.when(~F.col("full"), level)).over(whole))
+    ordered = ordered.withColumn("level", F.max(F.when(~F.col("full"), level)).over(whole))
     share = F.when(F.col("full"), F.col("cap")).otherwise(
         F.coalesce(F.greatest(F.col("level"), F.lit(0.0)) * F.col("weight"), F.lit(0.0))
     )
