@@ -10,7 +10,8 @@ once.
 
 Each level is one aggregation, combined before the shuffle so that a node of any
 size sends one row per task, and one join of the open texts with the nodes that
-hold several of them. Levels are tables in the shared folder.
+hold several of them, whose skewed partitions adaptive execution splits. Levels are
+tables in the shared folder.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import small_side, stored
+from hourgrid.llm.common import stored
 
 FIRST_DIGIT_BYTES = 64
 DIGIT_GROWTH = 8
@@ -83,7 +84,6 @@ def _level(open_rows: DataFrame, width: int) -> DataFrame:
         .withColumn("child", F.monotonically_increasing_id()),
         "radix-nodes",
     )
-    nodes = small_side(nodes, F.octet_length("digit") + 64)
     joined = dealt.join(nodes, key, "left")
     is_open = F.col("child").isNotNull() & ~F.col("ended")
     return stored(

@@ -13,6 +13,9 @@ from hourgrid.llm.language_id import learn_and_identify
 from hourgrid.llm.line_dedup import drop_repeated_lines
 from hourgrid.llm.mixing import Mix, mix_documents, word_count
 from hourgrid.llm.sharding import byte_shards
+from hourgrid.llm.toxicity import toxicity
+
+TOXIC_FROM = 0.3
 
 # src0 is by far the largest source; its domain gets 8 of 20 parts.
 MIX = Mix(
@@ -89,10 +92,21 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return rows.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
     "op6_language_id": op6_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op10_toxicity": op10_toxicity,
 }
