@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm.common import held_out, load
+from hourgrid.llm.embedding_dedup import near_vectors
 from hourgrid.llm.exact_dedup import exact_classes
 from hourgrid.llm.language_id import learn_and_identify
 from hourgrid.llm.line_dedup import drop_repeated_lines
@@ -92,6 +93,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(load(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
     return rows.select(
@@ -108,5 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_language_id": op6_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_toxicity": op10_toxicity,
 }
