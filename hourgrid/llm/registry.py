@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hourgrid.llm.common import held_out, load
 from hourgrid.llm.embedding_dedup import near_vectors
 from hourgrid.llm.exact_dedup import exact_classes
+from hourgrid.llm.jaccard_join import near_documents
 from hourgrid.llm.language_id import learn_and_identify
 from hourgrid.llm.line_dedup import drop_repeated_lines
 from hourgrid.llm.mixing import Mix, mix_documents, word_count
@@ -83,6 +84,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents(load(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = drop_repeated_lines(load(spark, sf_dir, "documents"))
     return rows.select(
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
     "op6_language_id": op6_language_id,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_toxicity": op10_toxicity,
