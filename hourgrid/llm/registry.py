@@ -14,6 +14,7 @@ from hourgrid.llm.jaccard_join import near_documents
 from hourgrid.llm.language_id import learn_and_identify
 from hourgrid.llm.line_dedup import drop_repeated_lines
 from hourgrid.llm.mixing import Mix, mix_documents, word_count
+from hourgrid.llm.sentencepiece_codec import encode_documents
 from hourgrid.llm.sharding import byte_shards
 from hourgrid.llm.toxicity import toxicity
 
@@ -57,6 +58,16 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(docs, MIX)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = encode_documents(load(spark, sf_dir, "documents"), keep=["doc_id"])
+    return rows.select(
+        "doc_id",
+        F.col("_ids").alias("ids"),
+        F.size("_ids").cast("long").alias("n_ids"),
+        F.col("_exact").alias("exact"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(load(spark, sf_dir, "documents"))
 
@@ -114,6 +125,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
     "op6_language_id": op6_language_id,
