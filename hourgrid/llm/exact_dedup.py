@@ -21,10 +21,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import stored
+from hourgrid.llm.common import small_side, stored
 
 FIRST_DIGIT_BYTES = 64
-DIGIT_GROWTH = 8
+DIGIT_GROWTH = 64
 
 
 def exact_classes(
@@ -71,20 +71,22 @@ def exact_classes(
 
 def _level(open_rows: DataFrame, width: int) -> DataFrame:
     """Deal open texts to child nodes; settled rows lose node and rest."""
-    key = ["node", "digit", "ended"]
-    dealt = open_rows.select(
-        "*",
-        F.substring("rest", 1, width).alias("digit"),
-        (F.octet_length("rest") <= width).alias("ended"),
-    )
+    digit = F.substring("rest", 1, width)
+    ended = F.octet_length("rest") <= width
     nodes = stored(
-        dealt.groupBy(*key)
+        open_rows.groupBy("node", digit.alias("digit"), ended.alias("ended"))
         .agg(F.count("*").alias("size"), F.max("doc_id").alias("keep"))
         .where(F.col("size") > 1)
-        .withColumn("child", F.monotonically_increasing_id()),
+        .withColumn("child", F.monotonically_increasing_id())
+        .withColumnRenamed("node", "parent"),
         "radix-nodes",
     )
-    joined = dealt.join(nodes, key, "left")
+    if width <= FIRST_DIGIT_BYTES:  # short digits; longer ones always meet in a shuffle
+        nodes = small_side(nodes, F.octet_length("digit") + 64)
+    same = (
+        (F.col("node") == F.col("parent")) & (digit == F.col("digit")) & (ended == F.col("ended"))
+    )
+    joined = open_rows.join(nodes, same, "left")
     is_open = F.col("child").isNotNull() & ~F.col("ended")
     return stored(
         joined.select(

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import held_out, load
+from hourgrid.llm.common import held_out, load, stored
 from hourgrid.llm.embedding_dedup import near_vectors
 from hourgrid.llm.exact_dedup import exact_classes
 from hourgrid.llm.jaccard_join import near_documents
 from hourgrid.llm.language_id import learn_and_identify
 from hourgrid.llm.line_dedup import drop_repeated_lines
 from hourgrid.llm.mixing import Mix, mix_documents, word_count
+from hourgrid.llm.quality import quality
 from hourgrid.llm.sentencepiece_codec import encode_documents
 from hourgrid.llm.sharding import byte_shards
 from hourgrid.llm.toxicity import toxicity
@@ -55,7 +56,7 @@ def with_tree(docs: DataFrame) -> DataFrame:
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_tree(load(spark, sf_dir, "documents"))
     docs = docs.select("doc_id", "domain", "lang", "source", "tokens")
-    return mix_documents(docs, MIX)
+    return mix_documents(stored(docs, "mix-rows"), MIX)
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +69,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources are the hosts, and a source's languages its paths."""
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    return quality(docs, labels, F.col("source"), F.col("lang"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(load(spark, sf_dir, "documents"))
 
@@ -126,6 +133,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
     "op6_language_id": op6_language_id,
