@@ -33,6 +33,9 @@ CODES = 1024
 LIST_LENGTH = 32
 CELL_ROWS = 1024
 SEED = 20260
+PROBES = 256
+SPLIT_FROM = 16  # dimensions; fewer have one block
+WIDEST = 0.95  # caps must be wide enough for two vectors at COSINE to share some
 
 
 class ProductCode:
@@ -41,7 +44,7 @@ class ProductCode:
     def __init__(self, dim: int, blocks: int = BLOCKS, codes: int = CODES, length: int = LIST_LENGTH):
         rng = np.random.default_rng([SEED, dim])
         self.codes = codes
-        self.blocks = min(blocks, dim)
+        self.blocks = blocks if dim >= SPLIT_FROM else 1
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         self.cuts = np.linspace(0, dim, self.blocks + 1).astype(int)
         self.books = []
@@ -49,13 +52,20 @@ class ProductCode:
             book = rng.standard_normal((high - low, codes))
             book *= np.sqrt((high - low) / dim) / np.linalg.norm(book, axis=0)
             self.books.append(book)
-        probe = rng.standard_normal((256, dim))
+        probe = rng.standard_normal((PROBES, dim))
         probe /= np.linalg.norm(probe, axis=1, keepdims=True)
-        scores = self._scores(probe)
-        total = scores[0]
-        for more in scores[1:]:
-            total = (total[:, :, None] + more[:, None, :]).reshape(len(probe), -1)
-        self.threshold = float(np.partition(total.ravel(), -length * len(probe))[-length * len(probe)])
+        top = [self._best(scores, 8 * length) for scores in zip(*self._scores(probe))]
+        top = np.sort(np.concatenate(top))
+        self.threshold = min(float(top[-min(len(top), length * PROBES)]), WIDEST)
+
+    @staticmethod
+    def _best(scores: tuple[np.ndarray, ...], k: int) -> np.ndarray:
+        """The k best sums of one score from each block."""
+        best = np.zeros(1)
+        for score in scores:
+            best = (best[:, None] + np.sort(score)[-k:]).ravel()
+            best = np.partition(best, -k)[-k:] if len(best) > k else best
+        return best
 
     def _scores(self, unit: np.ndarray) -> list[np.ndarray]:
         turned = unit @ self.rotation
