@@ -282,6 +282,8 @@ def _ratios(grams: np.ndarray, model: ToxicityModel) -> np.ndarray:
 
 
 def scores(features: np.ndarray, model: ToxicityModel) -> np.ndarray:
+    if model.curve[0] == -np.inf:
+        return np.zeros(len(features))
     scaled = (features - model.mean) / model.spread
     return 1 / (1 + np.exp(-np.clip(model.curve[0] + scaled @ model.curve[1:], -500, 500)))
 
