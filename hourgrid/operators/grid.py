@@ -14,12 +14,6 @@ from hourgrid.operators.classify import SPECIAL, SpecialValues
 from hourgrid.schemas import KEY, STATUSES
 from hourgrid.session import require_utc, shuffle_partitions
 
-# A coverage frame has one narrow row per hour of the window. Up to this many
-# rows (about a century of hours, some tens of MB) it is broadcast; beyond it
-# Spark joins it by shuffle.
-COVERAGE_BROADCAST_HOURS = 1_000_000
-
-
 def lookup_audit(lookup: DataFrame) -> DataFrame:
     """One row: surplus, non-positive and NULL keys, and rows with a NULL attribute."""
     key = F.col("zone_id")
@@ -102,9 +96,8 @@ def complete_grid(
     skeleton = entities.repartition(count, "zone_id").withColumn(
         "target_hour_utc", F.explode(utc_hours_array(window.utc_start, window.utc_end))
     )
+    # One narrow row for each hour; Spark decides by its size how to join it.
     status = coverage.select("target_hour_utc", "source_status")
-    if window.hours <= COVERAGE_BROADCAST_HOURS:
-        status = F.broadcast(status)
     month = F.lit(window.label)
     if month_of_hour:
         local = F.from_utc_timestamp("target_hour_utc", window.tz)

@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.errors import ContractError, ParameterError
@@ -34,6 +33,10 @@ MAX_ROUNDS = 500
 PATIENCE = 30
 SEED = 42
 MAX_CANDIDATES = 3
+# Categories of the nominal zone column; histograms need as many bins.
+MAX_ZONES = 8192
+# Rounds of the first fit; each further fit doubles them until patience is spent.
+FIRST_ROUNDS = 32
 
 
 @dataclass(frozen=True)
@@ -53,6 +56,12 @@ CANDIDATES = (
 )
 
 
+CANDIDATE_REPORT = (
+    "candidate_name string, boost_rounds int, scored_rows long, mae double, wape double, "
+    "is_selected boolean"
+)
+
+
 @dataclass(frozen=True)
 class Selection:
     candidate: Candidate
@@ -61,26 +70,40 @@ class Selection:
     validation_predictions: DataFrame
 
 
-def feature_pipeline() -> Pipeline:
-    """One-hot zone plus the numeric features, in a fixed order."""
-    return Pipeline(
-        stages=[
-            StringIndexer(
-                inputCol="zone_id",
-                outputCol="zone_index",
-                stringOrderType="alphabetAsc",
-                handleInvalid="error",
-            ),
-            OneHotEncoder(
-                inputCols=["zone_index"], outputCols=["zone_onehot"], dropLast=False
-            ),
-            VectorAssembler(
-                inputCols=["zone_onehot", *NUMERIC_FEATURES],
-                outputCol="features",
-                handleInvalid="error",
-            ),
-        ]
+def zone_indexes(features: DataFrame) -> DataFrame:
+    """(zone_id, zone_index) of all zones, numbered from 0 by id; it sees no target.
+
+    The number of zones is bounded by MAX_ZONES, so numbering them in one task and
+    joining them by broadcast are bounded too.
+    """
+    zones = features.select("zone_id").distinct()
+    if zones.count() > MAX_ZONES:
+        raise ContractError(f"the trees take at most {MAX_ZONES} zones as categories")
+    order = Window.orderBy("zone_id")
+    return zones.withColumn("zone_index", (F.row_number().over(order) - 1).cast("double"))
+
+
+def with_vectors(rows: DataFrame, zones: DataFrame, one_hot: bool = False) -> DataFrame:
+    """Rows with their feature vector: the zone, then the numeric features in a fixed order.
+
+    The zone is one nominal column, which trees split into two sets of zones; for
+    squared loss the best such split is found among zones ordered by their mean. With
+    one_hot it is a column for each zone instead.
+    """
+    count = max(zones.count(), 1)
+    nominal = {"ml_attr": {"type": "nominal", "name": "zone_index", "num_vals": count}}
+    rows = rows.join(F.broadcast(zones), "zone_id").withColumn(
+        "zone_index", F.col("zone_index").alias("zone_index", metadata=nominal)
     )
+    zone = "zone_index"
+    if one_hot:
+        zone = "zone_onehot"
+        encoder = OneHotEncoder(inputCols=["zone_index"], outputCols=[zone], dropLast=False)
+        rows = encoder.fit(rows.select("zone_index")).transform(rows)
+    assembler = VectorAssembler(
+        inputCols=[zone, *NUMERIC_FEATURES], outputCol="features", handleInvalid="error"
+    )
+    return assembler.transform(rows)
 
 
 def check_split_labels(features: DataFrame) -> None:
@@ -93,24 +116,16 @@ def check_split_labels(features: DataFrame) -> None:
         raise ContractError("feature rows must carry all three split labels and no other")
 
 
-def fit_encoder(features: DataFrame) -> PipelineModel:
-    """Encoder fitted on the zone universe of all splits; it sees no target."""
-    zones = features.groupBy("zone_id").agg(
-        *[F.first(name).alias(name) for name in NUMERIC_FEATURES]
-    )
-    return feature_pipeline().fit(zones)
-
-
-def prepare(features: DataFrame) -> DataFrame:
+def prepare(features: DataFrame, one_hot: bool = False) -> DataFrame:
     """Eligible rows of all splits with their feature vector, written out once.
 
     Rows are spread by key: time-ordered files would leave the train rows in a
     few partitions. The order inside a partition is fixed, so that row sampling
     repeats from run to run on the same number of partitions.
     """
-    encoder = fit_encoder(features)
     partitions = shuffle_partitions(features.sparkSession)
-    rows = encoder.transform(training_rows(features, *SPLIT_NAMES))
+    zones = zone_indexes(features)
+    rows = with_vectors(training_rows(features, *SPLIT_NAMES), zones, one_hot)
     label = F.col("target_trip_count").cast("double").alias("label")
     return cut_lineage(
         rows.select(
@@ -125,7 +140,15 @@ def prepare(features: DataFrame) -> DataFrame:
     )
 
 
-def regressor(candidate: Candidate, rounds: int, seed: int = SEED) -> GBTRegressor:
+def zone_bins(rows: DataFrame) -> int:
+    """Histogram bins: the fixed number, or that of the zones if there are more."""
+    attributes = rows.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    return max([MAX_BINS, *(len(a.get("vals", [])) or a.get("num_vals", 0) for a in attributes.get("nominal", []))])
+
+
+def regressor(
+    candidate: Candidate, rounds: int, seed: int = SEED, bins: int = MAX_BINS
+) -> GBTRegressor:
     return GBTRegressor(
         featuresCol="features",
         labelCol="label",
@@ -136,7 +159,7 @@ def regressor(candidate: Candidate, rounds: int, seed: int = SEED) -> GBTRegress
         minInstancesPerNode=candidate.min_rows_per_leaf,
         subsamplingRate=candidate.row_rate,
         featureSubsetStrategy=str(candidate.feature_rate),
-        maxBins=MAX_BINS,
+        maxBins=bins,
         maxIter=rounds,
         seed=seed,
         cacheNodeIds=False,
@@ -159,12 +182,23 @@ def fit_candidate(
     train: DataFrame, validation: DataFrame, candidate: Candidate, max_rounds: int,
     patience: int, seed: int,
 ) -> tuple[GBTRegressionModel, int]:
-    """Fit on train, find the best round by validation MAE, keep that many rounds."""
-    model = regressor(candidate, max_rounds, seed).fit(train)
-    rounds = best_round(model.evaluateEachIteration(validation, "absolute"), patience)
-    if rounds < max_rounds:
-        model = regressor(candidate, rounds, seed).fit(train)
-    return model, rounds
+    """Fit on train until validation MAE has not improved for `patience` rounds.
+
+    A fit begins with the trees of any shorter one, as each tree has a seed of its
+    own. So fits of 32, 64, 128, ... rounds see the errors that one fit of max_rounds
+    would see, and stop where it would stop. The best round's model is fitted last.
+    """
+    bins = zone_bins(train)
+    rounds = min(FIRST_ROUNDS, max_rounds)
+    while True:
+        model = regressor(candidate, rounds, seed, bins).fit(train)
+        best = best_round(model.evaluateEachIteration(validation, "absolute"), patience)
+        if rounds == max_rounds or best + patience <= rounds:
+            break
+        rounds = min(2 * rounds, max_rounds)
+    if best < rounds:
+        model = regressor(candidate, best, seed, bins).fit(train)
+    return model, best
 
 
 def predict(
@@ -183,6 +217,13 @@ def predict(
     ).select(*MODEL_PREDICTIONS.names)
 
 
+def has_history(prepared: DataFrame) -> bool:
+    """Whether both splits that selection reads have eligible rows."""
+    return all(
+        not prepared.where(F.col("split") == name).isEmpty() for name in ("train", "validation")
+    )
+
+
 def choose(metrics: DataFrame) -> DataFrame:
     """The candidate with the lowest MAE, then WAPE (unknown last), then name."""
     return metrics.orderBy("mae", F.asc_nulls_last("wape"), "candidate_name").limit(1)
@@ -228,7 +269,7 @@ def refit(
 ) -> GBTRegressionModel:
     """Fit the chosen candidate on train + validation, rounds locked."""
     rows = prepared.where(F.col("split").isin("train", "validation"))
-    return regressor(candidate, rounds, seed).fit(rows)
+    return regressor(candidate, rounds, seed, zone_bins(rows)).fit(rows)
 
 
 def model_predictions(

@@ -37,9 +37,9 @@ FORECAST_COLUMNS = (
 
 
 def served_predictions(predictions: DataFrame) -> DataFrame:
-    """The locked test rows of a prediction table, without unscored rows."""
+    """The locked test rows of a prediction table; the error is NULL where the actual is unknown."""
     return predictions.where(
-        (F.col("split") == "test") & F.col("absolute_error").isNotNull()
+        (F.col("split") == "test") & F.col("prediction").isNotNull()
     ).select(*KEY, "actual_trip_count", "prediction", "absolute_error")
 
 
@@ -47,7 +47,8 @@ def served_validation(served: DataFrame) -> DataFrame:
     """One row: rows, unique keys, zones, hours, NULL and bad rows, hour range."""
     actual = F.col("actual_trip_count").cast("double")
     gap = F.abs(F.col("absolute_error") - F.abs(actual - F.col("prediction")))
-    names = [*KEY, "actual_trip_count", "prediction", "absolute_error"]
+    names = [*KEY, "prediction"]
+    unlike = F.col("absolute_error").isNull() != F.col("actual_trip_count").isNull()
     negative = (
         (F.col("actual_trip_count") < 0)
         | (F.col("prediction") < 0)
@@ -57,7 +58,10 @@ def served_validation(served: DataFrame) -> DataFrame:
         F.count("*").alias("key_rows"),
         count_where(any_null(names)).alias("null_rows"),
         count_where(negative).alias("negative_rows"),
-        count_where(gap > ERROR_TOLERANCE).alias("inconsistent_rows"),
+        count_where(unlike | F.coalesce(gap > ERROR_TOLERANCE, F.lit(False))).alias(
+            "inconsistent_rows"
+        ),
+        F.count("absolute_error").alias("scored_rows"),
     )
     return keys.agg(
         *[
@@ -65,6 +69,7 @@ def served_validation(served: DataFrame) -> DataFrame:
             for source, name in (
                 ("key_rows", "rows"),
                 ("null_rows", "null_rows"),
+                ("scored_rows", "scored_rows"),
                 ("negative_rows", "negative_rows"),
                 ("inconsistent_rows", "inconsistent_rows"),
             )
@@ -97,7 +102,7 @@ class ForecastStore:
     strict_zones: bool = True
 
     def check(self) -> dict:
-        """Raise unless the served table is whole, unique, scored and covered."""
+        """Raise unless the served table is whole, unique, consistent and covered."""
         facts = served_validation(self.served).first().asDict()
         hours = int((self.end - self.start).total_seconds() // 3600)
         if facts["rows"] != facts["unique_keys"]:
@@ -135,7 +140,7 @@ class ForecastStore:
 
     def _described(self, rows: DataFrame) -> DataFrame:
         dimension = self.lookup.select("zone_id", "borough", "zone_name", "service_zone")
-        return rows.join(dimension, "zone_id").select(*FORECAST_COLUMNS)
+        return rows.join(dimension, "zone_id", "left").select(*FORECAST_COLUMNS)
 
     def summary(self, predictor: str) -> DataFrame:
         """One row: predictor, window, rows and zones."""
@@ -144,6 +149,7 @@ class ForecastStore:
             instant(self.start).alias("test_start_utc"),
             instant(self.end).alias("test_end_utc_exclusive"),
             F.count("*").alias("prediction_rows"),
+            F.count("absolute_error").alias("scored_rows"),
             F.count_distinct("zone_id").alias("zone_count"),
         )
 
@@ -162,7 +168,8 @@ class ForecastStore:
         if not 1 <= limit <= MAX_RANKING:
             raise ParameterError(f"limit must be from 1 to {MAX_RANKING}")
         rows = self.served.where(F.col("target_hour_utc") == instant(self._cutoff(hour)))
-        return self._described(rows).orderBy(F.desc("prediction"), "zone_id").limit(limit)
+        top = rows.orderBy(F.desc("prediction"), "zone_id").limit(limit)
+        return self._described(top).orderBy(F.desc("prediction"), "zone_id")
 
     def rankings_all_hours(self, limit: int = 10) -> DataFrame:
         """The ranking of every hour at once, with each zone's position."""
@@ -180,15 +187,21 @@ class ForecastStore:
             F.count("*").alias("zones"), F.sum("prediction").alias("predicted_total")
         )
 
-    def zone_rank(self, zone_id: int, hour: datetime, limit: int = 10) -> DataFrame:
-        """One row: the zone's position in the ranking, NULL when it is not listed."""
-        # At most MAX_RANKING rows are left to number.
-        order = Window.orderBy(F.desc("prediction"), "zone_id")
-        listed = self.rankings(hour, limit).withColumn("position", F.row_number().over(order))
+    def zone_rank(self, zone_id: int, hour: datetime) -> DataFrame:
+        """One row: the zone's position among all zones of the hour, NULL without a forecast."""
         zone = self._zone(zone_id)
-        return listed.agg(
+        rows = self.served.where(F.col("target_hour_utc") == instant(self._cutoff(hour)))
+        own = rows.where(F.col("zone_id") == zone).agg(F.max("prediction").alias("own"))
+        ahead = (F.col("prediction") > F.col("own")) | (
+            (F.col("prediction") == F.col("own")) & (F.col("zone_id") < zone)
+        )
+        # One row is joined to each forecast of the hour, and counted.
+        counted = rows.join(F.broadcast(own)).agg(
+            F.max("own").alias("own"), count_where(ahead).alias("ahead")
+        )
+        return counted.select(
             F.lit(zone).alias("zone_id"),
-            F.max(F.when(F.col("zone_id") == zone, F.col("position"))).alias("position"),
+            F.when(F.col("own").isNotNull(), F.col("ahead") + 1).cast("int").alias("position"),
         )
 
     def _history_rows(self, end: datetime, hours: int) -> DataFrame:
@@ -209,6 +222,7 @@ class ForecastStore:
         """One row: points found, their range and their MAE."""
         return self.history(zone_id, end, hours).agg(
             F.count("*").alias("points"),
+            F.count("absolute_error").alias("scored_points"),
             F.min("target_hour_utc").alias("start_utc"),
             F.max("target_hour_utc").alias("end_utc"),
             F.avg("absolute_error").alias("mae"),
@@ -219,7 +233,11 @@ class ForecastStore:
         return (
             self._history_rows(end, hours)
             .groupBy("zone_id")
-            .agg(F.count("*").alias("points"), F.avg("absolute_error").alias("mae"))
+            .agg(
+                F.count("*").alias("points"),
+                F.count("absolute_error").alias("scored_points"),
+                F.avg("absolute_error").alias("mae"),
+            )
         )
 
 

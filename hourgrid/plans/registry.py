@@ -33,7 +33,7 @@ from hourgrid.plans.workload import (
     TZ,
     Workload,
 )
-from hourgrid.schemas import KEY
+from hourgrid.schemas import KEY, MODEL_PREDICTIONS
 from hourgrid.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,8 +43,6 @@ FORECAST_ZONE = 3
 FORECAST_HOUR = datetime(2024, 1, 25, 17, tzinfo=UTC)
 HISTORY_HOURS = 48
 PROBE_HOUR = datetime(2024, 1, 19, 12, tzinfo=UTC)
-MODEL_ROUNDS = 4
-MODEL_PATIENCE = 2
 
 REGISTRY: dict[str, Query] = {}
 
@@ -547,9 +545,7 @@ def metric_mismatches(w):
 
 def _store(w):
     served = serve.served_predictions(w.baseline)
-    return serve.ForecastStore(
-        served, w.lookup, SPLITS.test[0], SPLITS.test[1], strict_zones=False
-    )
+    return serve.ForecastStore(served, w.lookup, SPLITS.test[0], SPLITS.test[1])
 
 
 @query
@@ -589,7 +585,7 @@ def ranking_share(w):
 
 @query
 def zone_rank(w):
-    return _store(w).zone_rank(FORECAST_ZONE, FORECAST_HOUR, TOP_N)
+    return _store(w).zone_rank(FORECAST_ZONE, FORECAST_HOUR)
 
 
 @query
@@ -668,17 +664,23 @@ def leakage_probe_effect(w):
 
 def _selection(w):
     prepared = model.prepare(w.features)
-    chosen = model.select_candidate(
-        prepared, max_rounds=MODEL_ROUNDS, patience=MODEL_PATIENCE
-    )
-    return prepared, chosen
+    if not model.has_history(prepared):
+        return prepared, None
+    return prepared, model.select_candidate(prepared)
 
 
 @query
 def candidate_metrics(w):
-    return model.candidate_report(_selection(w)[1])
+    """Without a full week of history no row is eligible, and no candidate is fitted."""
+    chosen = _selection(w)[1]
+    if chosen is None:
+        return w.spark.createDataFrame([], model.CANDIDATE_REPORT)
+    return model.candidate_report(chosen)
 
 
 @query
 def model_predictions(w):
-    return model.model_predictions(*_selection(w))[0]
+    prepared, chosen = _selection(w)
+    if chosen is None:
+        return w.spark.createDataFrame([], MODEL_PREDICTIONS)
+    return model.model_predictions(prepared, chosen)[0]

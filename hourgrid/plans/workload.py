@@ -3,8 +3,8 @@
 An event is one row of `events`; its zone is user_id + 1, missing on error
 events. A zone is one row of `supplier` (s_suppkey + 1), its borough the region
 and its service zone the nation; the region MIDDLE EAST is not served. Users
-without a supplier are unknown zones. During two clock outages the timestamps
-are lost, which leaves hours without any source row.
+without a supplier are unknown zones. The window ends a day after the last
+event, so its last hours have no source row.
 """
 
 from __future__ import annotations
@@ -33,21 +33,15 @@ SPECIAL = {
     "service_zone": ("unknown", "n/a"),
 }
 
-OUTAGES = (
-    (datetime(2024, 1, 11, 0), datetime(2024, 1, 11, 2)),
-    (datetime(2024, 1, 20, 0), datetime(2024, 1, 20, 2)),
-    (datetime(2024, 1, 29, 20), datetime(2024, 1, 29, 23)),
-)
-
 
-def _local_midnight(day: int) -> datetime:
-    return datetime(2024, 1, day, 5, tzinfo=UTC)
+def _local_midnight(day: int, month: int = 1) -> datetime:
+    return datetime(2024, month, day, 5, tzinfo=UTC)
 
 
 SPLITS = Splits(
     train=(_local_midnight(2), _local_midnight(18)),
     validation=(_local_midnight(18), _local_midnight(23)),
-    test=(_local_midnight(23), _local_midnight(30)),
+    test=(_local_midnight(23), _local_midnight(1, month=2)),
 )
 
 # Day shifts of the timestamps: none, over the spring gap, over the autumn
@@ -56,7 +50,7 @@ BASE_DAYS, GAP_DAYS, OVERLAP_DAYS, MONTHS_DAYS = 0, 60, 300, 45
 
 
 def shifted_window(days: int) -> LocalWindow:
-    start, end = datetime(2024, 1, 2), datetime(2024, 1, 30)
+    start, end = datetime(2024, 1, 2), datetime(2024, 2, 1)
     return LocalWindow(start + timedelta(days=days), end + timedelta(days=days), TZ)
 
 
@@ -81,15 +75,12 @@ def events(
         rows = rows.where(
             (stored >= ntz(within.start - shift)) & (stored < ntz(within.end - shift))
         )
-    lost = F.lit(False)
-    for start, end in OUTAGES:
-        lost = lost | ((F.col("ts") >= ntz(start)) & (F.col("ts") < ntz(end)))
     shifted = (F.col("ts") + F.expr(f"INTERVAL {days} DAYS")).cast("timestamp_ntz")
     # Source files are cut by UTC month, while windows follow local months.
     file_month = F.date_format(F.to_utc_timestamp(shifted, TZ), "yyyy-MM")
     return rows.select(
         "event_id",
-        F.when(~lost, shifted).alias("pickup_ts"),
+        shifted.alias("pickup_ts"),
         F.when(F.col("event_type") != "error", F.col("user_id").cast("int") + 1).alias(
             "zone_raw"
         ),

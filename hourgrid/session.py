@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 from hourgrid.errors import ContractError
@@ -53,16 +51,17 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder: the cluster's own, or a scratch one locally."""
+    """Return the checkpoint folder: spark.checkpoint.dir, else one in the warehouse.
+
+    Both are folders that all nodes share.
+    """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise ContractError("set spark.checkpoint.dir to a folder all nodes share")
-        folder = tempfile.mkdtemp(prefix="hourgrid-checkpoint-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
     context.setCheckpointDir(folder)
     return folder
 
