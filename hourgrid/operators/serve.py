@@ -11,6 +11,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.errors import ContractError, ParameterError
 from hourgrid.functions.calendar import instant
@@ -24,6 +25,17 @@ from hourgrid.schemas import KEY
 MAX_RANKING = 25
 MAX_HISTORY_HOURS = 168
 
+# The served table.
+SERVED = T.StructType(
+    [
+        T.StructField("zone_id", T.IntegerType()),
+        T.StructField("target_hour_utc", T.TimestampType()),
+        T.StructField("actual_trip_count", T.LongType()),
+        T.StructField("prediction", T.DoubleType()),
+        T.StructField("absolute_error", T.DoubleType()),
+    ]
+)
+
 FORECAST_COLUMNS = (
     "zone_id",
     "borough",

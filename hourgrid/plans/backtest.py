@@ -2,20 +2,26 @@
 
 Every stage reads the table the stage before has written, so a lost executor
 costs at most the stage in flight, and raw events are aggregated exactly once.
-Contracts are checked on the written tables before the next stage starts.
+A stage writes to a version of its own. Only when the contracts hold on what was
+written does that version become the current one, which later stages read; a
+broken contract leaves the current tables as they were.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from hourgrid.errors import ContractError
 from hourgrid.functions.calendar import LocalWindow
 from hourgrid.operators import classify, compare, counts, features, grid, metrics, model, profile
 from hourgrid.operators.baseline import SEASONAL_LAG_HOURS, seasonal_naive
-from hourgrid.operators.integrity import manifest
-from hourgrid.operators.serve import ForecastStore, predictions_to_serve
+from hourgrid.operators.integrity import manifest, manifest_check
+from hourgrid.operators.serve import SERVED, ForecastStore, predictions_to_serve
 from hourgrid.operators.splits import Splits, assign_splits, check_splits
 from hourgrid.schemas import (
     BASELINE_PREDICTIONS,
@@ -24,8 +30,13 @@ from hourgrid.schemas import (
     MODEL_PREDICTIONS,
     OBSERVED,
 )
-from hourgrid.session import configure
-from hourgrid.sources.contracts import assert_schema, require_rows, required_columns
+from hourgrid.session import configure, cut_lineage
+from hourgrid.sources.contracts import (
+    assert_fields,
+    assert_schema,
+    require_rows,
+    required_columns,
+)
 from hourgrid.sources.tables import (
     check_written,
     nested_report,
@@ -34,6 +45,8 @@ from hourgrid.sources.tables import (
     write_sorted,
 )
 
+TABLES = ("counts", "grid", "baseline", "features", "model_predictions", "served")
+
 
 @dataclass(frozen=True)
 class BacktestConfig:
@@ -69,14 +82,37 @@ class Backtest:
     def report(self, name: str, sections: dict[str, DataFrame]) -> None:
         write_report(nested_report(sections), self.path(f"reports/{name}"))
 
-    def _store(self, df: DataFrame, name: str, schema, partition_by: str | None = None):
-        """Write a stage table in its schema, read it back and check it."""
+    def _store(
+        self,
+        df: DataFrame,
+        name: str,
+        schema,
+        partition_by: str | None = None,
+        check: Callable[[DataFrame], object] | None = None,
+    ) -> DataFrame:
+        """Write a version of a stage table, check it, and only then make it current."""
         assert_schema(df, schema)
-        rows = write_sorted(df, self.path(name), partition_by)
-        return check_written(self.spark, self.path(name), schema, rows)
+        version = f"{self.path(name)}/version-{uuid.uuid4().hex}"
+        rows = write_sorted(df, version, partition_by)
+        written = check_written(self.spark, version, schema, rows)
+        if check is not None:
+            check(written)
+        self._publish(name, version)
+        return written
+
+    def _publish(self, name: str, version: str) -> None:
+        pointer = self.spark.range(1).select(F.lit(version).alias("path"))
+        pointer.coalesce(1).write.mode("overwrite").json(self.path(f"current/{name}"))
+
+    def current(self, name: str) -> str:
+        """Path of the version of a table that passed its checks last."""
+        return self.spark.read.schema("path string").json(self.path(f"current/{name}")).first().path
 
     def table(self, name: str, schema) -> DataFrame:
-        return read_table(self.spark, self.path(name), schema=schema)
+        return read_table(self.spark, self.current(name), schema=schema)
+
+    def _record(self, name: str, recorded: DataFrame) -> None:
+        recorded.write.mode("overwrite").parquet(self.path(f"metrics/{name}"))
 
     # -- stages -------------------------------------------------------------
 
@@ -111,9 +147,12 @@ class Backtest:
         cells.write.mode("overwrite").option("compression", "zstd").parquet(self.path("cells"))
         cells = self.cells()
         observed = self._store(
-            counts.hourly_counts(cells), "counts", OBSERVED, "source_month"
+            counts.hourly_counts(cells),
+            "counts",
+            OBSERVED,
+            "source_month",
+            lambda written: counts.check_counts(written, cells),
         )
-        counts.check_counts(observed, cells)
         self.report(
             "aggregate",
             {
@@ -129,6 +168,7 @@ class Backtest:
 
     def complete(self) -> DataFrame:
         c = self.config
+        self.recount()
         coverage = grid.coverage_status(counts.source_activity(self.cells()), c.window)
         full = grid.complete_grid(
             grid.service_entities(self.lookup, c.special),
@@ -137,8 +177,13 @@ class Backtest:
             c.window,
             month_of_hour=True,
         )
-        written = self._store(full, "grid", GRID, "source_month")
-        grid.check_grid(written, c.window.utc_start, c.window.utc_end)
+        written = self._store(
+            full,
+            "grid",
+            GRID,
+            "source_month",
+            lambda table: grid.check_grid(table, c.window.utc_start, c.window.utc_end),
+        )
         self.report(
             "grid",
             {
@@ -148,6 +193,13 @@ class Backtest:
         )
         return written
 
+    def recount(self) -> None:
+        """The stored counts must be those of the cells, row by row."""
+        stored = self.table("counts", OBSERVED)
+        again = counts.hourly_counts(self.cells()).select(*stored.columns)
+        if grid.bag_diff_rows(stored, again).first()[0]:
+            raise ContractError("stored counts differ from a recount of the cells")
+
     def _assigned(self) -> DataFrame:
         c = self.config
         whole = self.table("grid", GRID)
@@ -164,6 +216,7 @@ class Backtest:
         )
         scores = metrics.split_metrics(predictions)
         metrics.check_scored(scores)
+        self._record("baseline", scores.select("split", "mae", "wape"))
         self.report(
             "baseline",
             {
@@ -176,8 +229,12 @@ class Backtest:
         return predictions
 
     def features(self) -> DataFrame:
-        table = self._store(features.build_features(self._assigned()), "features", FEATURES)
-        features.check_features(table)
+        table = self._store(
+            features.build_features(self._assigned()),
+            "features",
+            FEATURES,
+            check=features.check_features,
+        )
         self.report("features", {"splits": features.feature_report(table)})
         return table
 
@@ -190,33 +247,43 @@ class Backtest:
             prepared, c.candidates, c.max_rounds, c.patience, c.seed
         )
         predictions, final = model.model_predictions(prepared, chosen, c.seed)
-        written = self._store(predictions, "model_predictions", MODEL_PREDICTIONS)
+        written = self._store(
+            predictions, "model_predictions", MODEL_PREDICTIONS, check=compare.check_predictions
+        )
         final.write().overwrite().save(self.path("model"))
         candidates = model.candidate_report(chosen)
         model.check_isolation(candidates, final.getNumTrees)
-        compare.check_predictions(written)
+        by_split = metrics.forecast_metrics(written, "split")
+        self._record("model", by_split.select("split", "mae", "wape"))
+        by_hour = written.withColumn("utc_hour", F.hour("target_hour_utc"))
         self.report(
             "model",
             {
                 "candidates": candidates,
-                "splits": metrics.forecast_metrics(written, "split"),
+                "splits": by_split,
                 "audit": compare.prediction_audit(written),
+                "by_utc_hour": metrics.forecast_metrics(by_hour, "utc_hour"),
             },
         )
+        write_report(metrics.forecast_metrics(written, "zone_id"), self.path("reports/model_by_zone"))
         return written
 
     def analyse(self) -> str:
-        """Compare on the rows both predictors scored; return the predictor to serve."""
+        """Compare two predictors scored on the same rows; return the one to serve."""
         c = self.config
         predicted = self.table("model_predictions", MODEL_PREDICTIONS)
         naive = self.table("baseline", BASELINE_PREDICTIONS)
+        compare.check_alignment(predicted, naive)
+        if not compare.uncovered_zones(predicted, self.lookup).isEmpty():
+            raise ContractError("some predicted zones have no lookup row")
         compare.align_predictions(predicted, naive).write.mode("overwrite").parquet(
             self.path("comparison")
         )
         rows = require_rows(self.spark.read.parquet(self.path("comparison")))
-        by_zone = compare.zone_metrics(rows, self.lookup)
-        by_hour = compare.hour_metrics(rows)
-        residuals = compare.residual_metrics(rows)
+        by_zone = cut_lineage(compare.zone_metrics(rows, self.lookup))
+        by_hour = cut_lineage(compare.hour_metrics(rows))
+        residuals = cut_lineage(compare.residual_metrics(rows))
+        self.check_recorded(residuals)
         verdict = compare.decision(residuals)
         self.report(
             "analysis",
@@ -238,6 +305,19 @@ class Backtest:
         write_report(by_zone, self.path("reports/by_zone"))
         return verdict.first().serving_winner
 
+    def check_recorded(self, residuals: DataFrame) -> None:
+        """The metrics recorded when the predictions were written must come out again."""
+        recorded = None
+        for predictor in ("model", "baseline"):
+            one = self.spark.read.parquet(self.path(f"metrics/{predictor}"))
+            one = one.where(F.col("split") == "test").select(
+                F.lit(predictor).alias("predictor"), "mae", "wape"
+            )
+            recorded = one if recorded is None else recorded.unionByName(one)
+        odd = compare.metric_mismatches(residuals, recorded, ("predictor",), ("mae", "wape"))
+        if not odd.isEmpty():
+            raise ContractError("recomputed test metrics differ from the recorded ones")
+
     def serve(self, winner: str) -> ForecastStore:
         """Write the test predictions of the winner in (hour, zone) order."""
         table = predictions_to_serve(
@@ -245,23 +325,37 @@ class Backtest:
             self.table("model_predictions", MODEL_PREDICTIONS),
             self.table("baseline", BASELINE_PREDICTIONS),
         )
-        write_sorted(table, self.path("served"))
+        assert_fields(table, SERVED)
+        test = self.config.splits.test
+        self._store(
+            table,
+            "served",
+            SERVED,
+            check=lambda written: ForecastStore(written, self.lookup, *test).check(),
+        )
         return self.store()
 
     def store(self) -> ForecastStore:
         test = self.config.splits.test
-        return ForecastStore(
-            self.spark.read.parquet(self.path("served")), self.lookup, test[0], test[1]
-        )
+        return ForecastStore(self.table("served", SERVED), self.lookup, test[0], test[1])
 
     def write_manifest(self) -> DataFrame:
-        """Rows, schema and fingerprint of every table of the run."""
-        names = ["counts", "grid", "baseline", "features", "model_predictions", "served"]
-        tables = {name: self.spark.read.parquet(self.path(name)) for name in names}
-        entries = manifest({"lookup": self.lookup, **tables})
-        entries.write.mode("overwrite").parquet(self.path("manifest"))
+        """Rows, schema and fingerprint of the inputs and of every table of the run."""
+        manifest(self.datasets()).write.mode("overwrite").parquet(self.path("manifest"))
         return self.spark.read.parquet(self.path("manifest"))
 
+    def datasets(self) -> dict[str, DataFrame]:
+        tables = {name: self.spark.read.parquet(self.current(name)) for name in TABLES}
+        return {"events": self.events, "lookup": self.lookup, **tables}
+
+    def verify(self) -> None:
+        """Raise unless inputs and tables are still those that the manifest records."""
+        recorded = self.spark.read.parquet(self.path("manifest"))
+        changed = manifest_check(recorded, manifest(self.datasets())).take(10)
+        if changed:
+            names = sorted(f"{row.dataset} ({row.reason})" for row in changed)
+            raise ContractError(f"data differ from the manifest: {', '.join(names)}")
+
     def run(self) -> ForecastStore:
         configure(self.spark)
         self.profile()
@@ -272,4 +366,5 @@ class Backtest:
         self.model()
         store = self.serve(self.analyse())
         self.write_manifest()
+        self.verify()
         return store

@@ -177,10 +177,9 @@ def test_read_queries(spark):
     mae = s.history_mae(1, five, 24).first()
     assert (mae.points, mae.mae) == (2, 1.5)
     assert rows_of(s.zone_rank(2, four), "position") == [(2,)]
-    assert rows_of(s.zone_rank(2, four, 1), "position") == [(None,)]
     assert rows_of(s.ranking_share(five, 2)) == [(2, 7.5)]
     assert sorted(rows_of(s.rankings_all_hours(1), "zone_id")) == [(1,), (1,)]
-    assert sorted(rows_of(s.history_all_zones(five, 2))) == [(1, 2, 1.5), (2, 2, 0.25)]
+    assert sorted(rows_of(s.history_all_zones(five, 2))) == [(1, 2, 2, 1.5), (2, 2, 2, 0.25)]
 
 
 @pytest.mark.parametrize(

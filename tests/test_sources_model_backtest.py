@@ -205,12 +205,44 @@ def test_whole_backtest(spark, tmp_path):
         "decision", "overall", "quantiles", "worst_zones",
     }
     tables_now = {
-        name: spark.read.parquet(run.path(name))
+        name: spark.read.parquet(run.current(name))
         for name in ("counts", "grid", "baseline", "features", "model_predictions", "served")
     }
     recorded = spark.read.parquet(run.path("manifest"))
-    current = integrity.manifest({"lookup": zones, **tables_now})
+    current = integrity.manifest({"events": raw, "lookup": zones, **tables_now})
     assert integrity.manifest_check(recorded, current).isEmpty()
     tampered = {**tables_now, "grid": tables_now["grid"].withColumn("zone_id", F.lit(1))}
-    found = integrity.manifest_check(recorded, integrity.manifest({"lookup": zones, **tampered}))
+    found = integrity.manifest_check(recorded, integrity.manifest({"events": raw, "lookup": zones, **tampered}))
     assert rows_of(found, "dataset", "reason") == [("grid", "content")]
+
+    # Each gate on damaged input: an error, and the current tables stay as they were.
+    before = {name: run.current(name) for name in tables_now}
+
+    def damaged(name, change):
+        version = run.path(f"{name}/damaged")
+        change(tables_now[name]).write.parquet(version)
+        run._publish(name, version)
+
+    def refused(stage, name, change, match):
+        damaged(name, change)
+        with pytest.raises(ContractError, match=match):
+            stage()
+        run._publish(name, before[name])
+        assert {n: run.current(n) for n in before} == before
+
+    first = F.col("target_hour_utc") == F.lit(utc("2026-03-20T12:00")).cast("timestamp")
+    refused(run.complete, "counts", lambda t: t.limit(20), "recount")
+    refused(run.analyse, "model_predictions", lambda t: t.where(~first), "different rows")
+    refused(
+        run.analyse,
+        "baseline",
+        lambda t: t.withColumn("prediction", F.col("prediction") + 1),
+        "recorded",
+    )
+    refused(run.verify, "features", lambda t: t.limit(10), "features")
+    with pytest.raises(ContractError, match="lookup"):
+        Backtest(spark, raw, zones.where("zone_id <> 2"), config, run.out).analyse()
+    with pytest.raises(ContractError):
+        run._store(tables_now["grid"].union(tables_now["grid"]), "grid", GRID, "source_month")
+    assert run.current("grid") == before["grid"]
+    run.verify()
