@@ -2,9 +2,10 @@
 
 The built-in exact percentile keeps every distinct value of a group in one
 aggregation buffer. Here the values are first counted (partial aggregation
-collapses repeats), then laid into buckets by a monotone function of the value.
-A running total over the few buckets says which of them hold the wanted ranks,
-and only those buckets are ordered value by value.
+collapses repeats) and written out once, then laid into buckets by sign and
+logarithm, which is monotone and as fine near zero as elsewhere. A running total
+over the few buckets says which of them hold the wanted ranks, and only those
+buckets are ordered value by value.
 """
 
 from __future__ import annotations
@@ -12,8 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per unit of ln(1 + |x|): about 57,000 buckets up to x = 1e6.
-BUCKETS_PER_LOG_UNIT = 4096
+from hourgrid.session import cut_lineage
+
+# Buckets for each doubling of |x|. No double lies below 2 ** -1075.
+BUCKETS_PER_DOUBLING = 256
+LOWEST_EXPONENT = 1075
 
 
 def exact_quantiles(
@@ -29,9 +33,13 @@ def exact_quantiles(
         .agg(F.count("*").alias("n"))
         .withColumn(
             "bucket",
-            F.floor(F.signum("v") * F.log1p(F.abs("v")) * BUCKETS_PER_LOG_UNIT).cast("long"),
+            F.when(F.col("v") == 0, 0).otherwise(
+                F.signum("v")
+                * (F.floor((F.log2(F.abs("v")) + LOWEST_EXPONENT) * BUCKETS_PER_DOUBLING) + 1)
+            ).cast("long"),
         )
     )
+    values = cut_lineage(values)
 
     group = Window.partitionBy(*keys)
     running = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -8,7 +8,6 @@ the lookup join runs on cells, whether Spark broadcasts the lookup or not.
 
 from __future__ import annotations
 
-from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -46,19 +45,13 @@ def lookup_flags(lookup: DataFrame, special: SpecialValues = SPECIAL) -> DataFra
     )
 
 
-def in_source_month(ts: Column, window: LocalWindow, month: Column) -> Column:
-    """True when the time lies in the local month the row's source is named after.
+def in_source_month(ts: Column, month: Column) -> Column:
+    """True when the time lies in the local month (yyyy-MM) the row's source is named after.
 
-    Literal month bounds, so no timestamp is formatted per row.
+    Months are compared as whole numbers; a name that is no month is never hit.
     """
-    hit = F.lit(False)
-    first = window.start.replace(day=1, hour=0)
-    while first < window.end:
-        following = (first + timedelta(days=32)).replace(day=1)
-        inside = (ts >= ntz(first)) & (ts < ntz(following))
-        hit = hit | ((month == first.strftime("%Y-%m")) & inside)
-        first = following
-    return F.coalesce(hit, F.lit(False))
+    year, number = (F.substring(month, k, n).try_cast("int") for k, n in ((1, 4), (6, 2)))
+    return F.coalesce(F.year(ts) * 12 + F.month(ts) == year * 12 + number, F.lit(False))
 
 
 def outside_window(ts: Column, window: LocalWindow, month: Column | None) -> Column:
@@ -66,7 +59,7 @@ def outside_window(ts: Column, window: LocalWindow, month: Column | None) -> Col
     outside = (ts < ntz(window.start)) | (ts >= ntz(window.end))
     if month is None:
         return outside
-    return outside | ~in_source_month(ts, window, month)
+    return outside | ~in_source_month(ts, month)
 
 
 def time_disposition(ts: Column, window: LocalWindow, month: Column | None = None) -> Column:
@@ -101,10 +94,20 @@ def label_dispositions(
     """Events with one extra column, disposition; unmatched rows are kept."""
     ts = F.col(ts_col).cast("timestamp_ntz")
     month = None if month_col is None else F.col(month_col)
-    flags = lookup_flags(lookup, special).withColumnRenamed("zone_id", "lookup_zone_id")
-    joined = events.join(flags, F.col(zone_col) == F.col("lookup_zone_id"), "left")
-    label = F.coalesce(time_disposition(ts, window, month), zone_disposition(F.col(zone_col).isNull()))
-    return joined.withColumn("disposition", label).drop("lookup_zone_id", "is_special")
+    flags = lookup_flags(lookup, special).withColumnRenamed("zone_id", "__lookup_zone")
+    # Missing zones match nothing: their rows are spread over the exchange by time
+    # instead of meeting in one partition. Skewed zones are left to adaptive execution.
+    zone, missing = F.col(zone_col), F.col(zone_col).isNull()
+    spread = F.struct(missing, F.when(missing, F.xxhash64(ts)).otherwise(zone.cast("long")))
+    flags = flags.withColumn(
+        "__key", F.struct(F.lit(False), F.col("__lookup_zone").cast("long"))
+    )
+    joined = events.withColumn("__spread", spread)
+    joined = joined.join(flags, F.col("__spread") == F.col("__key"), "left")
+    label = F.coalesce(time_disposition(ts, window, month), zone_disposition(missing))
+    return joined.withColumn("disposition", label).drop(
+        "__lookup_zone", "is_special", "__spread", "__key"
+    )
 
 
 def time_cells(
@@ -143,7 +146,7 @@ def usable_cells(
     month = None if month_col is None else F.col(month_col)
     rows = events.where((ts >= ntz(window.start)) & (ts < ntz(window.end)))
     if month is not None:
-        rows = rows.where(in_source_month(ts, window, month))
+        rows = rows.where(in_source_month(ts, month))
     for kind in ("nonexistent", "ambiguous"):
         rows = rows.where(~in_anomaly(ts, window.anomalies, kind))
     # The hour of a row in the window is never NULL; saying so keeps later joins

@@ -79,10 +79,10 @@ def check_counts(counts: DataFrame, cells: DataFrame) -> dict:
     summary = counts_summary(counts).first().asDict()
     balance = conservation(counts, cells).first()
     if summary["duplicate_keys"]:
-        raise ContractError(f"{summary['duplicate_keys']} zone-hours are counted twice (duplicate)")
+        raise ContractError(f"{summary['duplicate_keys']} zone-hours appear in several rows")
     if not balance.is_conserved:
         raise ContractError(
             f"{balance.retained_rows} events were retained, but the counts add up to "
-            f"{balance.output_trip_count} (no match)"
+            f"{balance.output_trip_count}"
         )
     return summary

@@ -113,7 +113,7 @@ def check_split_labels(features: DataFrame) -> None:
     )
     present = [not features.where(F.col("split") == n).isEmpty() for n in SPLIT_NAMES]
     if not all(present) or not other.isEmpty():
-        raise ContractError("feature rows must carry all three split labels and no other")
+        raise ContractError("split labels are missing or unknown")
 
 
 def prepare(features: DataFrame, one_hot: bool = False) -> DataFrame:
@@ -296,7 +296,7 @@ def candidate_report(selection: Selection) -> DataFrame:
 def check_isolation(report: DataFrame, final_rounds: int) -> None:
     """Candidate reports carry no test metrics; one is selected, with the final rounds."""
     if any("test" in name for name in report.columns):
-        raise ContractError("test figures leaked into the candidate report")
+        raise ContractError("the candidate report names a test column")
     selected = report.where("is_selected").take(2)
     if len(selected) != 1 or selected[0].boost_rounds != final_rounds:
-        raise ContractError("the report must mark one candidate, with the rounds of the final fit")
+        raise ContractError("selected candidate and final fit disagree")

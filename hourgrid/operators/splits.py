@@ -16,11 +16,11 @@ from hourgrid.schemas import SPLIT_NAMES
 
 def utc_hour_bound(value: datetime, label: str) -> datetime:
     if value.tzinfo is None or value.utcoffset() is None:
-        raise ParameterError(f"{label} must include a UTC offset")
+        raise ParameterError(f"{label}: the time has no zone")
     if value.utcoffset() != timedelta(0):
-        raise ParameterError(f"{label} must use UTC")
+        raise ParameterError(f"{label}: the zone is not UTC")
     if value.minute or value.second or value.microsecond:
-        raise ParameterError(f"{label} must align to a whole UTC hour")
+        raise ParameterError(f"{label}: not on the hour")
     return value
 
 
@@ -44,9 +44,9 @@ class Splits:
             utc_hour_bound(split.start, f"{split.name} start")
             utc_hour_bound(split.end, f"{split.name} end")
             if split.start >= split.end:
-                raise ParameterError(f"{split.name} must start before it ends")
+                raise ParameterError(f"{split.name}: no hour between start and end")
         if self.train[1] != self.validation[0] or self.validation[1] != self.test[0]:
-            raise ParameterError("splits must follow one another without a gap (contiguous)")
+            raise ParameterError("a split does not begin where the one before ends")
 
     def __iter__(self):
         return iter(Split(name, *getattr(self, name)) for name in SPLIT_NAMES)

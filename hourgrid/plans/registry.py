@@ -684,3 +684,42 @@ def model_predictions(w):
     if chosen is None:
         return w.spark.createDataFrame([], MODEL_PREDICTIONS)
     return model.model_predictions(prepared, chosen)[0]
+
+
+@query
+def model_contract(w):
+    """Rows, keys, scope and broken values of the model's predictions, by split."""
+    prepared, chosen = _selection(w)
+    if chosen is None:
+        rows = w.spark.createDataFrame([], MODEL_PREDICTIONS)
+    else:
+        rows = model.model_predictions(prepared, chosen)[0]
+    gap = F.abs(F.col("absolute_error") - F.abs(F.col("actual_trip_count") - F.col("prediction")))
+    finite = F.abs("prediction") < F.lit(float("inf"))
+    keys = rows.groupBy("split", "fit_scope", *KEY).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("prediction") < 0).alias("negative"),
+        F.count_if((gap > 1e-9) | ~finite).alias("odd"),
+    )
+    return keys.groupBy("split", "fit_scope").agg(
+        F.sum("n").alias("rows"),
+        F.count("*").alias("unique_keys"),
+        F.sum("negative").alias("negative_rows"),
+        F.sum("odd").alias("inconsistent_rows"),
+    )
+
+
+@query
+def candidate_choice(w):
+    """The choice rule over two predictors without a model: means of a day and of a week."""
+    rows = features.training_rows(w.features, "validation")
+    sides = [
+        rows.select(
+            F.lit(name).alias("candidate_name"),
+            F.col("target_trip_count").alias("actual_trip_count"),
+            F.abs(F.col("target_trip_count") - F.col(column)).alias("absolute_error"),
+        )
+        for name, column in (("day", "rolling_mean_24h"), ("week", "rolling_mean_168h"))
+    ]
+    scored = metrics.forecast_metrics(sides[0].unionByName(sides[1]), "candidate_name")
+    return model.choose(scored.select("candidate_name", "scored_rows", "mae", "wape"))
