@@ -24,7 +24,8 @@ from hourgrid.llm.common import held_out, small_side, stored
 BINS = 12
 SMOOTHING = 1.0
 EVIDENCE_WEIGHT = 1.0
-KEEP_FROM = 0.5
+# Losing a good document costs more than keeping a bad one.
+KEEP_FROM = 0.1
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
