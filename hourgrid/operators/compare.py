@@ -376,7 +376,10 @@ def metric_mismatches(
 
 
 def check_predictions(predictions: DataFrame) -> None:
-    """Raise on repeated keys or NULLs in a model prediction table."""
-    nulls = predictions.where(any_null(MODEL_PREDICTIONS.names))
+    """Raise on repeated keys, NULLs or values without end in a model prediction table."""
+    endless = F.lit(False)
+    for name in ("prediction_raw", "prediction", "absolute_error"):
+        endless = endless | F.isnan(name) | (F.abs(name) == F.lit(float("inf")))
+    nulls = predictions.where(any_null(MODEL_PREDICTIONS.names) | endless)
     if not duplicate_keys(predictions).isEmpty() or not nulls.isEmpty():
-        raise ContractError("prediction table repeats a key or holds a NULL")
+        raise ContractError("prediction table repeats a key or lacks a finite value")

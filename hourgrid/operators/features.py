@@ -133,7 +133,8 @@ def feature_violations(features: DataFrame) -> DataFrame:
         | (F.col("features_complete") != all_known())
     )
     for name in HISTORY_FEATURES:
-        bad = bad | (F.coalesce(F.col(name), F.lit(0)) < 0)
+        value = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+        bad = bad | (value < 0) | F.isnan(value) | (value == F.lit(float("inf")))
     return features.agg(F.count("*").alias("rows"), count_where(bad).alias("violations"))
 
 

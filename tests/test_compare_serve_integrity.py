@@ -94,6 +94,9 @@ def test_audits(spark):
     holed = model.withColumn("prediction", F.when(F.col("zone_id") == 1, F.col("prediction")))
     with pytest.raises(ContractError):
         compare.check_predictions(holed)
+    for odd in ("NaN", "Infinity"):
+        with pytest.raises(ContractError):
+            compare.check_predictions(model.withColumn("prediction_raw", F.lit(odd).cast("double")))
     assert tuple(compare.baseline_audit(baseline_frame(spark)).first()) == (4, 4, 0)
     few = zones(spark).where("zone_id <> 2")
     assert rows_of(compare.uncovered_zones(model, few)) == [(2,)]
