@@ -9,45 +9,86 @@ only as far as there is evidence.
 
 Counts are gathered from all labelled texts, n-grams are strings in DataFrames, and
 each order is a join. For scoring, the log-ratio of the two models is a number for
-each 5-gram seen, or else for its context; both go into tables of a fixed number of
-slots, which are broadcast. A text's features are the mean log-ratio of a character,
-which is the difference of length-normalised log-likelihoods, and how far the sums
-over its words exceed a threshold. A logistic curve over both, fitted on labelled
-texts that were not counted, gives the score.
+each 5-gram seen, or else for its context. All of them are kept, by 64-bit keys: the
+most frequent in a broadcast cache of bounded size, any others in stored tables, with
+which the n-grams of the texts that the cache lacks are joined. A text's features are
+the mean log-ratio of a character, which is the difference of length-normalised
+log-likelihoods, and how far the sums over its words exceed a threshold. A logistic
+curve over both, fitted on labelled texts that were not counted, gives the score.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid.llm.common import held_out, small_side, stored
-from hourgrid.llm.textbatch import letters, pieces
+from hourgrid.llm.textbatch import Piece, letters, pieces
 
 ORDER = 5
 DISCOUNT = 0.75
-GRAM_BITS = 22
-CONTEXT_BITS = 20
+CACHED_GRAMS = 1 << 22  # expected number of n-grams to broadcast, at most
+CACHED_CONTEXTS = 1 << 20
 WORD_EXCESS = 3.0
 FIT_DOCS = 50_000  # expected number of texts to fit the logistic curve on, at most
 FLUSH_GRAMS = 1_000_000
 FLOOR = 1e-9
 
 
+@dataclass(frozen=True)
+class Cache:
+    """Log-ratios by key, sorted; starts has the place of the first key of each prefix.
+
+    values has one more entry than keys, 0, which is the ratio at place -1.
+    """
+
+    keys: np.ndarray
+    values: np.ndarray
+    starts: np.ndarray
+    shift: np.uint64
+
+    @staticmethod
+    def of(keys: np.ndarray, values: np.ndarray) -> Cache:
+        order = np.argsort(keys)
+        keys = keys[order]
+        bits = min(max(len(keys).bit_length(), 1), 24)
+        shift = np.uint64(64 - bits)
+        prefixes = np.arange((1 << bits) + 1, dtype=np.uint64)
+        starts = np.searchsorted(keys >> shift, prefixes).astype(np.int32)
+        return Cache(keys, np.append(values[order], 0).astype(np.float32), starts, shift)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, or -1."""
+        prefix = (keys >> self.shift).astype(np.int64)
+        at, end = self.starts[prefix], self.starts[prefix + 1]
+        found = np.full(len(keys), -1, np.int64)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            here = at[left]
+            hit = self.keys[here] == keys[left]
+            found[left[hit]] = here[hit]
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return found
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Slots of log-ratios with check bytes, and the logistic curve over two features."""
+    """Caches of log-ratios, tables (key, ratio) of all others or None if there are none,
+    and the logistic curve over two features."""
 
-    grams: np.ndarray
-    gram_checks: np.ndarray
-    contexts: np.ndarray
-    context_checks: np.ndarray
+    grams: Cache
+    contexts: Cache
+    other_grams: DataFrame | None
+    other_contexts: DataFrame | None
     mean: np.ndarray
     spread: np.ndarray
     curve: np.ndarray
@@ -92,12 +133,6 @@ def _hash(grams: np.ndarray) -> np.ndarray:
     return found
 
 
-def _slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and check byte, never 0, of each hash."""
-    checks = ((hashes >> np.uint64(8)) & np.uint64(0xFF)).astype(np.uint8) | np.uint8(1)
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64), checks
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct grams of a task with their counts in toxic and ordinary texts."""
     keys = np.zeros(0, np.uint64)
@@ -224,41 +259,76 @@ def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return of_grams, of_contexts
 
 
-def _slot_table(ratios: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ratios in 2**bits slots; of n-grams that meet in a slot, the most frequent one's."""
+def _most_frequent(counts: DataFrame, limit: int) -> Column | None:
+    """Whether an n-gram of (gram, n) is among the most frequent, about limit; None: all are.
 
-    def slotted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Frequencies are compared by their logarithm; of the last level that has room for
+    some only, those are chosen by hash.
+    """
+    level = F.floor(F.log2("n"))
+    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("size")).collect()
+    if sum(r["size"] for r in levels) <= limit:
+        return None
+    for last, size in sorted(((r["level"], r["size"]) for r in levels), reverse=True):
+        if size > limit:
+            break
+        limit -= size
+    share = int(limit / size * (1 << 20))
+    chosen = F.pmod(F.xxhash64("gram"), F.lit(1 << 20)) < share
+    return (level > last) | ((level == last) & chosen)
+
+
+def _kept(
+    counts: DataFrame, ratios: DataFrame, limit: int, name: str
+) -> tuple[Cache, DataFrame | None]:
+    """Cache of the most frequent n-grams' ratios, and the table (key, ratio) of the others.
+
+    counts has (gram, n) of the rows of ratios, which is costlier to read.
+    """
+    frequent = _most_frequent(counts, limit)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = "".join(batch.column("gram").to_pylist())
             grams = np.frombuffer(texts.encode("utf-32-le"), np.uint32).reshape(batch.num_rows, -1)
-            slots, checks = _slots(_hash(grams), bits)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slots), pa.array(checks.astype(np.int32)), *batch.columns[1:]],
-                names=["slot", "check", "ratio", "n"],
+                [pa.array(_hash(grams).view(np.int64)), *batch.columns[1:]],
+                names=["key", "ratio", "frequent"],
             )
 
-    rows = ratios.select("gram", "ratio", "n").mapInArrow(
-        slotted, "slot long, check int, ratio double, n long"
-    )
-    best = rows.groupBy("slot").agg(F.max(F.struct("n", "check", "ratio")).alias("best"))
-    found = best.select(
-        F.col("slot").cast("int").alias("slot"),
-        F.col("best.check").cast("short").alias("check"),
-        F.col("best.ratio").cast("float").alias("ratio"),
-    ).toPandas()
-    values, checks = np.zeros(1 << bits, np.float32), np.zeros(1 << bits, np.uint8)
-    values[found["slot"].to_numpy()] = found["ratio"].to_numpy()
-    checks[found["slot"].to_numpy()] = found["check"].to_numpy()
-    return values, checks
-
-
-def text_features(column: pa.Array, model: ToxicityModel) -> np.ndarray:
+    rows = ratios.select(
+        "gram",
+        F.col("ratio").cast("float").alias("ratio"),
+        (F.lit(True) if frequent is None else frequent).alias("frequent"),
+    ).mapInArrow(keyed, "key long, ratio float, frequent boolean")
+    others = None
+    if frequent is not None:
+        rows = stored(rows, name)
+        others = rows.where(~F.col("frequent")).select("key", "ratio")
+    found = rows.where("frequent").select("key", "ratio").toPandas()
+    keys = found["key"].to_numpy(np.int64).view(np.uint64)
+    return Cache.of(keys, found["ratio"].to_numpy(np.float32)), others
+
+
+def _ratios(grams: np.ndarray, of_grams: Cache, of_contexts: Cache) -> tuple:
+    """Of each row the key and the cached ratio; the rows whose 5-gram is not cached, with
+    the keys of their contexts and whether those are not cached either."""
+    keys = _hash(grams)
+    places = of_grams.places(keys)
+    ratio = of_grams.values[places].astype(np.float64)
+    unseen = np.flatnonzero(places < 0)
+    context_keys = _hash(grams[unseen, :-1])
+    places = of_contexts.places(context_keys)
+    ratio[unseen] = of_contexts.values[places]
+    return ratio, keys, unseen, context_keys, places < 0
+
+
+def text_features(column: pa.Array, of_grams: Cache, of_contexts: Cache) -> np.ndarray:
     """Of each text: mean log-ratio of a character, and log(1 + excess of its words)."""
     sums = np.zeros((3, len(column)))  # characters, log-ratio, excess
     for piece in pieces(column, ORDER - 1):
         points, starts, seen = _squeezed(piece.points, piece.starts, piece.seen)
-        grams = _grams(points, starts)
-        ratio = _ratios(grams, model)
+        ratio = _ratios(_grams(points, starts), of_grams, of_contexts)[0]
         ratio[:seen] = 0
         rows = np.arange(piece.first, piece.first + len(starts))
         sums[0, rows] += np.diff(np.append(starts, len(points)))
@@ -272,13 +342,66 @@ def text_features(column: pa.Array, model: ToxicityModel) -> np.ndarray:
     return np.stack([sums[1] / np.maximum(sums[0], 1), np.log1p(sums[2])], axis=1)
 
 
-def _ratios(grams: np.ndarray, model: ToxicityModel) -> np.ndarray:
-    slots, checks = _slots(_hash(grams), GRAM_BITS)
-    ratio = model.grams[slots].astype(np.float64)
-    unseen = model.gram_checks[slots] != checks
-    slots, checks = _slots(_hash(grams[unseen, :-1]), CONTEXT_BITS)
-    ratio[unseen] = np.where(model.context_checks[slots] == checks, model.contexts[slots], 0.0)
-    return ratio
+PART = (
+    "_doc long, _chars long, _ratio double, _excess double, _terms array<struct<"
+    "word: long, times: long, known: double, gram: long, context: long, ratio: double>>"
+)
+
+
+def _part(piece: Piece, of_grams: Cache, of_contexts: Cache, joins: tuple, word: int) -> tuple:
+    """Columns _chars to _terms of PART for each text of a piece, and the next free word.
+
+    joins says whether there are other 5-grams and contexts than the cached ones. Words
+    whose n-grams are all known are summed up here. Of the others, each different one of
+    a text has a term for each n-gram to look up: known is the sum of the word's other
+    n-grams, ratio what holds if the tables do not have it, context is null if that is
+    known. Words are numbered from word.
+    """
+    points, starts, seen = _squeezed(piece.points, piece.starts, piece.seen)
+    ratio, keys, unseen, context_keys, no_context = _ratios(
+        _grams(points, starts), of_grams, of_contexts
+    )
+    ratio[:seen], keys[:seen] = 0, 0
+    no_context &= joins[1]
+    wanted = (unseen >= seen) & (joins[0] | no_context)
+    unseen, context_keys, no_context = unseen[wanted], context_keys[wanted], no_context[wanted]
+    words = np.union1d(np.flatnonzero(points == 32), starts)
+    text = np.searchsorted(starts, words, "right") - 1
+    of_word = np.searchsorted(words, unseen, "right") - 1
+    fallback = ratio[unseen]
+    ratio[unseen] = 0
+    known = np.add.reduceat(ratio, words)
+    waits = np.zeros(len(words), bool)
+    waits[of_word] = True
+    chars = np.diff(np.append(starts, len(points)))
+    chars[0] -= seen
+    done = np.where(waits, 0, known)
+    excess = np.where(waits, 0, np.maximum(known - WORD_EXCESS, 0))
+    # Equal n-grams make equal words; the first of them in a text stands for all.
+    same = np.stack([text.astype(np.uint64), np.add.reduceat(keys, words)], axis=1)[waits]
+    _, first, times = np.unique(same, axis=0, return_index=True, return_counts=True)
+    number = np.zeros(len(words), np.int64)
+    number[np.flatnonzero(waits)[first]] = times
+    stands = number[of_word] > 0
+    of_word = of_word[stands]
+    terms = pa.StructArray.from_arrays(
+        [
+            pa.array(word + of_word),
+            pa.array(number[of_word]),
+            pa.array(known[of_word]),
+            pa.array(keys[unseen[stands]].view(np.int64)),
+            pa.array(context_keys[stands].view(np.int64), mask=~no_context[stands]),
+            pa.array(fallback[stands]),
+        ],
+        names=["word", "times", "known", "gram", "context", "ratio"],
+    )
+    ends = np.cumsum(np.bincount(text[of_word], minlength=len(starts)))
+    return [
+        pa.array(chars.astype(np.int64)),
+        pa.array(np.bincount(text, done, minlength=len(starts))),
+        pa.array(np.bincount(text, excess, minlength=len(starts))),
+        pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), terms),
+    ], word + len(words)
 
 
 def scores(features: np.ndarray, model: ToxicityModel) -> np.ndarray:
@@ -323,10 +446,13 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Toxic
         gram_counts(rows.where(F.col("part") >= quarter).select("text", "toxic")), "toxic-grams"
     )
     of_grams, of_contexts = log_ratios(grams)
-    grams_table, gram_checks = _slot_table(of_grams, GRAM_BITS)
-    contexts_table, context_checks = _slot_table(of_contexts, CONTEXT_BITS)
+    counts = grams.select("gram", (F.col("toxic") + F.col("ordinary")).alias("n"))
+    cached_grams, other_grams = _kept(counts, of_grams, CACHED_GRAMS, "toxic-ratios")
+    cached_contexts, other_contexts = _kept(
+        of_contexts.select("gram", "n"), of_contexts, CACHED_CONTEXTS, "toxic-context-ratios"
+    )
     flat = ToxicityModel(
-        grams_table, gram_checks, contexts_table, context_checks,
+        cached_grams, cached_contexts, other_grams, other_contexts,
         np.zeros(2), np.ones(2), np.array([-np.inf, 0.0, 0.0]),
     )
     seen = labels.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
@@ -342,20 +468,20 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Toxic
         mean, spread, curve = np.zeros(2), np.ones(2), base
     else:
         mean, spread, curve = fit_curve(fitted[["f0", "f1"]].to_numpy(), toxic)
-    return ToxicityModel(
-        grams_table, gram_checks, contexts_table, context_checks, mean, spread, curve
-    )
+    return replace(flat, mean=mean, spread=spread, curve=curve)
 
 
 def featured(
     spark: SparkSession, docs: DataFrame, model: ToxicityModel, keep: list[str]
 ) -> DataFrame:
     """Columns keep of docs, the two features f0 and f1 of each text, and its score."""
+    if model.other_grams is not None or model.other_contexts is not None:
+        return _joined(spark, docs, model, keep)
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = text_features(batch.column("text"), sent.value)
+            found = text_features(batch.column("text"), sent.value.grams, sent.value.contexts)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in keep),
@@ -371,6 +497,77 @@ def featured(
     return docs.select(*keep, "text").mapInArrow(run, schema)
 
 
+def _joined(
+    spark: SparkSession, docs: DataFrame, model: ToxicityModel, keep: list[str]
+) -> DataFrame:
+    """What featured returns, with the n-grams that are not cached joined to their tables.
+
+    Texts are read once: their parts are stored with what the cache does not know.
+    """
+    joins = (model.other_grams is not None, model.other_contexts is not None)
+    sent = spark.sparkContext.broadcast((model.grams, model.contexts))
+    fields = T.StructType.fromDDL(PART)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, word = TaskContext.get().partitionId() << 40, 0
+        for batch in batches:
+            for piece in pieces(batch.column("text"), ORDER - 1):
+                columns, word = _part(piece, *sent.value, joins, word)
+                rows = len(columns[0])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(piece.first, rows) for c in keep),
+                        pa.array(np.arange(rows) + (doc + piece.first)),
+                        *columns,
+                    ],
+                    names=[*keep, *fields.names],
+                )
+            doc += batch.num_rows
+
+    schema = T.StructType([docs.schema[c] for c in keep] + fields.fields)
+    parts = stored(docs.select(*keep, "text").mapInArrow(run, schema), "toxic-parts")
+    terms = parts.select("_doc", F.inline("_terms"))
+    if joins[1]:
+        found = model.other_contexts.select(F.col("key").alias("context"), F.col("ratio").alias("found"))
+        asked = terms.where(F.col("context").isNotNull()).join(found, "context", "left")
+        asked = asked.withColumn("ratio", F.coalesce(F.col("found").cast("double"), F.lit(0.0)))
+        terms = terms.where(F.col("context").isNull()).unionByName(asked.select(*terms.columns))
+    if joins[0]:
+        found = model.other_grams.select(F.col("key").alias("gram"), F.col("ratio").alias("found"))
+        terms = terms.join(found, "gram", "left")
+        terms = terms.withColumn("ratio", F.coalesce(F.col("found").cast("double"), F.col("ratio")))
+    words = terms.groupBy("_doc", "word").agg(
+        F.first("times").alias("times"), (F.first("known") + F.sum("ratio")).alias("sum")
+    )
+    over = F.greatest(F.col("sum") - WORD_EXCESS, F.lit(0.0))
+    words = words.groupBy("_doc").agg(
+        F.sum(F.col("times") * F.col("sum")).alias("more_ratio"),
+        F.sum(F.col("times") * over).alias("more_excess"),
+    )
+    sums = parts.groupBy("_doc").agg(
+        *(F.first(c).alias(c) for c in keep),
+        *(F.sum(c).alias(c) for c in ("_chars", "_ratio", "_excess")),
+    )
+    rows = sums.join(words, "_doc", "left")
+    none = F.lit(0.0)
+    rows = rows.select(
+        *keep,
+        (
+            (F.col("_ratio") + F.coalesce("more_ratio", none))
+            / F.greatest(F.col("_chars"), F.lit(1))
+        ).alias("f0"),
+        F.log1p(F.col("_excess") + F.coalesce("more_excess", none)).alias("f1"),
+    )
+    score = none
+    if model.curve[0] != -np.inf:
+        score = F.lit(float(model.curve[0]))
+        for k, name in enumerate(("f0", "f1")):
+            scaled = (F.col(name) - float(model.mean[k])) / float(model.spread[k])
+            score = score + scaled * float(model.curve[k + 1])
+        score = 1 / (1 + F.exp(-F.greatest(F.least(score, F.lit(500.0)), F.lit(-500.0))))
+    return rows.withColumn("_score", score)
+
+
 def toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

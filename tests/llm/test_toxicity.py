@@ -4,9 +4,10 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
-from hourgrid.llm.toxicity import DISCOUNT, ORDER, gram_counts, log_ratios, toxicity
+from hourgrid.llm.toxicity import DISCOUNT, ORDER, Cache, gram_counts, log_ratios, toxicity
 
 TEXTS = [("a nice day", 0), ("you awful clod", 1), ("nice awful", 0), ("clod clod", 1), ("", 0), ("day", 0)]
 
@@ -104,3 +105,31 @@ def test_contexts_have_their_own_ratio(spark):
     for r in contexts.collect():
         totals[r.gram] += r.n
     assert sum(totals.values()) == sum(len(squeezed(t)) for t, _ in TEXTS)
+
+
+def test_ngrams_beyond_the_cache_keep_their_ratios(spark, docs_of, corpus, monkeypatch):
+    docs, labels = corpus
+    edges = [(900, None), (901, ""), (None, "river awfulclod"), (902, "river awfulclod " * 30_000), (900, "zzyx qqvw")]
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+    def scored():
+        rows = toxicity(docs_of(docs + edges), frame).collect()
+        return sorted((r.doc_id is None, r.doc_id or 0, r.score) for r in rows)
+
+    whole = scored()
+    for grams, contexts in ((0, 0), (200, 100), (200, 1 << 20), (1 << 22, 50)):
+        monkeypatch.setattr("hourgrid.llm.toxicity.CACHED_GRAMS", grams)
+        monkeypatch.setattr("hourgrid.llm.toxicity.CACHED_CONTEXTS", contexts)
+        found = scored()
+        assert [r[:2] for r in found] == [r[:2] for r in whole]
+        assert all(abs(a[2] - b[2]) < 1e-6 for a, b in zip(found, whole))
+
+
+def test_cache_finds_every_key():
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 1 << 64, 5000, dtype=np.uint64)
+    keys[:50] = np.arange(50)
+    cache = Cache.of(keys[:4000], np.arange(4000, dtype=np.float32))
+    assert (cache.values[cache.places(keys[:4000])] == np.arange(4000)).all()
+    assert (cache.places(keys[4000:]) == -1).all()
+    assert (Cache.of(keys[:0], np.zeros(0)).places(keys) == -1).all()
