@@ -411,16 +411,22 @@ def scores(features: np.ndarray, model: ToxicityModel) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model.curve[0] + scaled @ model.curve[1:], -500, 500)))
 
 
-def fit_curve(features: np.ndarray, toxic: np.ndarray, ridge: float = 1e-3) -> tuple:
-    """Mean and spread of the features and the coefficients of the logistic curve."""
-    mean, spread = features.mean(axis=0), features.std(axis=0) + 1e-9
+def fit_curve(
+    features: np.ndarray, toxic: np.ndarray, times: np.ndarray, ridge: float = 1e-3
+) -> tuple:
+    """Mean and spread of the features and the coefficients of the logistic curve.
+
+    Each row counts as many times as times says.
+    """
+    mean = np.average(features, axis=0, weights=times)
+    spread = np.sqrt(np.average((features - mean) ** 2, axis=0, weights=times)) + 1e-9
     rows = np.column_stack([np.ones(len(features)), (features - mean) / spread])
-    penalty = ridge * len(rows) * np.diag([0.0] + [1.0] * features.shape[1])
+    penalty = ridge * times.sum() * np.diag([0.0] + [1.0] * features.shape[1])
     curve = np.zeros(rows.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(rows @ curve, -30, 30)))
-        slope = rows.T @ (p - toxic) + penalty @ curve
-        bend = (rows * (p * (1 - p))[:, None]).T @ rows + penalty + 1e-9 * np.eye(len(curve))
+        slope = rows.T @ (times * (p - toxic)) + penalty @ curve
+        bend = (rows * (times * p * (1 - p))[:, None]).T @ rows + penalty + 1e-9 * np.eye(len(curve))
         step = np.linalg.solve(bend, slope)
         curve -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-10:
@@ -431,8 +437,9 @@ def fit_curve(features: np.ndarray, toxic: np.ndarray, ridge: float = 1e-3) -> t
 def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> ToxicityModel:
     """Learn from docs (doc_id, text) and labels (doc_id, toxic) that are not held out.
 
-    Three of four labelled texts are counted, by a hash of the text; the others, or about
-    fit_docs of them if there are more, fit the curve.
+    A quarter of the different labelled texts, by a hash of the text, but about fit_docs
+    at most, fit the curve; all others are counted. Copies of a fitted text reach the
+    driver as one row with their number.
     Without both classes in both parts the score is the toxic share of the labels.
     """
     spark = docs.sparkSession
@@ -441,9 +448,10 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Toxic
     labels = small_side(stored(labels, "toxic-labels"), 32)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(labels, "doc_id")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
-    quarter = 1 << 18
+    seen = labels.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
+    bound = int((1 << 18) * min(1.0, fit_docs / max(1.0, seen["n"] / 4)))
     grams = stored(
-        gram_counts(rows.where(F.col("part") >= quarter).select("text", "toxic")), "toxic-grams"
+        gram_counts(rows.where(F.col("part") >= bound).select("text", "toxic")), "toxic-grams"
     )
     of_grams, of_contexts = log_ratios(grams)
     counts = grams.select("gram", (F.col("toxic") + F.col("ordinary")).alias("n"))
@@ -455,19 +463,24 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Toxic
         cached_grams, cached_contexts, other_grams, other_contexts,
         np.zeros(2), np.ones(2), np.array([-np.inf, 0.0, 0.0]),
     )
-    seen = labels.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
     if not seen["n"]:
         return flat
-    expected = max(1.0, seen["n"] / 4)
-    bound = int(quarter * min(1.0, fit_docs / expected))
-    fitted = featured(spark, rows.where(F.col("part") < bound), flat, ["toxic"]).toPandas()
+    rows = rows.where(F.col("part") < bound).withColumn("copy", F.xxhash64("text"))
+    fitted = (
+        featured(spark, rows, flat, ["copy", "toxic"])
+        .groupBy("copy", "toxic")
+        .agg(F.first("f0").alias("f0"), F.first("f1").alias("f1"), F.count("*").alias("times"))
+        .toPandas()
+    )
     toxic = fitted["toxic"].to_numpy(float)
     if len(set(toxic)) < 2 or seen["toxic"] in (0, seen["n"]):
         share = seen["toxic"] / seen["n"]
         base = np.array([np.log(max(share, 1e-12) / max(1 - share, 1e-12)), 0.0, 0.0])
         mean, spread, curve = np.zeros(2), np.ones(2), base
     else:
-        mean, spread, curve = fit_curve(fitted[["f0", "f1"]].to_numpy(), toxic)
+        mean, spread, curve = fit_curve(
+            fitted[["f0", "f1"]].to_numpy(), toxic, fitted["times"].to_numpy(float)
+        )
     return replace(flat, mean=mean, spread=spread, curve=curve)
 
 

@@ -7,7 +7,17 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from hourgrid.llm.toxicity import DISCOUNT, ORDER, Cache, gram_counts, log_ratios, toxicity
+from hourgrid.llm.common import held_out
+from hourgrid.llm.toxicity import (
+    DISCOUNT,
+    ORDER,
+    Cache,
+    fit_curve,
+    gram_counts,
+    log_ratios,
+    toxicity,
+    train,
+)
 
 TEXTS = [("a nice day", 0), ("you awful clod", 1), ("nice awful", 0), ("clod clod", 1), ("", 0), ("day", 0)]
 
@@ -133,3 +143,40 @@ def test_cache_finds_every_key():
     assert (cache.values[cache.places(keys[:4000])] == np.arange(4000)).all()
     assert (cache.places(keys[4000:]) == -1).all()
     assert (Cache.of(keys[:0], np.zeros(0)).places(keys) == -1).all()
+
+
+def test_all_texts_are_counted_or_fitted_and_copies_are_one_row(spark, docs_of, corpus, monkeypatch):
+    docs, labels = corpus
+    copies = [(1000 + i, docs[1][1]) for i in range(300)]
+    frame = spark.createDataFrame(
+        labels + [(i, 1, labels[1][2]) for i, _ in copies], "doc_id long, quality int, toxic int"
+    )
+    counted, fitted = [], []
+
+    def counts(rows):
+        counted.extend(r.text for r in rows.collect())
+        return gram_counts(rows)
+
+    def fit(features, toxic, times):
+        fitted.append((len(features), times.sum()))
+        return fit_curve(features, toxic, times)
+
+    monkeypatch.setattr("hourgrid.llm.toxicity.gram_counts", counts)
+    monkeypatch.setattr("hourgrid.llm.toxicity.fit_curve", fit)
+    learned = docs_of(docs + copies).where(~held_out("doc_id"))
+    texts = [r.text for r in learned.collect()]
+    for fit_docs in (100, 1 << 20):
+        counted.clear(), fitted.clear()
+        train(docs_of(docs + copies), frame.select("doc_id", "toxic"), fit_docs)
+        [(rows, times)] = fitted
+        assert len(counted) + times == len(texts)
+        assert len(set(counted)) + rows == len(set(texts))
+
+
+def test_weights_are_repeated_rows():
+    rng = np.random.default_rng(5)
+    features, toxic = rng.normal(size=(40, 2)), rng.integers(0, 2, 40).astype(float)
+    times = rng.integers(1, 5, 40)
+    once = fit_curve(features, toxic, times.astype(float))
+    many = fit_curve(features.repeat(times, 0), toxic.repeat(times), np.ones(times.sum()))
+    assert all(np.allclose(a, b) for a, b in zip(once, many))
