@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.errors import ContractError, ParameterError
@@ -33,7 +33,8 @@ MAX_ROUNDS = 500
 PATIENCE = 30
 SEED = 42
 MAX_CANDIDATES = 3
-# Categories of the nominal zone column; histograms need as many bins.
+# Categories of a single nominal zone column; histograms need as many bins.
+# More zones are given by the digits of their ids, to the base of MAX_BINS.
 MAX_ZONES = 8192
 # Rounds of the first fit; each further fit doubles them until patience is spent.
 FIRST_ROUNDS = 32
@@ -73,35 +74,56 @@ class Selection:
 def zone_indexes(features: DataFrame) -> DataFrame:
     """(zone_id, zone_index) of all zones, numbered from 0 by id; it sees no target.
 
-    The number of zones is bounded by MAX_ZONES, so numbering them in one task and
-    joining them by broadcast are bounded too.
+    The zones are numbered in one task, one row for each.
     """
     zones = features.select("zone_id").distinct()
-    if zones.count() > MAX_ZONES:
-        raise ContractError(f"the trees take at most {MAX_ZONES} zones as categories")
     order = Window.orderBy("zone_id")
     return zones.withColumn("zone_index", (F.row_number().over(order) - 1).cast("double"))
 
 
-def with_vectors(rows: DataFrame, zones: DataFrame, one_hot: bool = False) -> DataFrame:
+def zone_digits(features: DataFrame) -> dict[str, Column]:
+    """Digits of zone_id, counted from the smallest, as nominal columns; no target is seen.
+
+    Different ids differ in a digit, so trees can tell any two zones apart. The ids are
+    ints, so there are at most five digits to the base of MAX_BINS.
+    """
+    low, high = features.agg(F.min("zone_id"), F.max("zone_id")).first()
+    code = F.col("zone_id").cast("long") - F.lit(low).cast("long")
+    digits = {}
+    while not digits or MAX_BINS ** len(digits) <= high - low:
+        name = f"zone_digit_{len(digits)}"
+        nominal = {"ml_attr": {"type": "nominal", "name": name, "num_vals": MAX_BINS}}
+        power = F.lit(MAX_BINS ** len(digits)).cast("long")
+        digit = F.floor(code / power) % MAX_BINS
+        digits[name] = digit.cast("double").alias(name, metadata=nominal)
+    return digits
+
+
+def with_vectors(rows: DataFrame, features: DataFrame, one_hot: bool = False) -> DataFrame:
     """Rows with their feature vector: the zone, then the numeric features in a fixed order.
 
-    The zone is one nominal column, which trees split into two sets of zones; for
-    squared loss the best such split is found among zones ordered by their mean. With
-    one_hot it is a column for each zone instead.
+    Zones are those of features. Up to MAX_ZONES, the zone is one nominal column, which
+    trees split into two sets of zones; for squared loss the best such split is found
+    among zones ordered by their mean. Beyond, each digit of its id is such a column.
+    With one_hot it is a column for each zone instead, whatever their number.
     """
-    count = max(zones.count(), 1)
-    nominal = {"ml_attr": {"type": "nominal", "name": "zone_index", "num_vals": count}}
-    rows = rows.join(F.broadcast(zones), "zone_id").withColumn(
-        "zone_index", F.col("zone_index").alias("zone_index", metadata=nominal)
-    )
-    zone = "zone_index"
+    count = features.select("zone_id").distinct().count()
+    if count > MAX_ZONES and not one_hot:
+        digits = zone_digits(features)
+        rows = rows.where(F.col("zone_id").isNotNull()).withColumns(digits)
+        zone = list(digits)
+    else:
+        zones = zone_indexes(features)
+        nominal = {"ml_attr": {"type": "nominal", "name": "zone_index", "num_vals": max(count, 1)}}
+        rows = rows.join(F.broadcast(zones) if count <= MAX_ZONES else zones, "zone_id")
+        rows = rows.withColumn("zone_index", F.col("zone_index").alias("zone_index", metadata=nominal))
+        zone = ["zone_index"]
     if one_hot:
-        zone = "zone_onehot"
-        encoder = OneHotEncoder(inputCols=["zone_index"], outputCols=[zone], dropLast=False)
-        rows = encoder.fit(rows.select("zone_index")).transform(rows)
+        encoder = OneHotEncoder(inputCols=zone, outputCols=["zone_onehot"], dropLast=False)
+        rows = encoder.fit(rows.select(*zone)).transform(rows)
+        zone = ["zone_onehot"]
     assembler = VectorAssembler(
-        inputCols=[zone, *NUMERIC_FEATURES], outputCol="features", handleInvalid="error"
+        inputCols=[*zone, *NUMERIC_FEATURES], outputCol="features", handleInvalid="error"
     )
     return assembler.transform(rows)
 
@@ -124,8 +146,7 @@ def prepare(features: DataFrame, one_hot: bool = False) -> DataFrame:
     repeats from run to run on the same number of partitions.
     """
     partitions = shuffle_partitions(features.sparkSession)
-    zones = zone_indexes(features)
-    rows = with_vectors(training_rows(features, *SPLIT_NAMES), zones, one_hot)
+    rows = with_vectors(training_rows(features, *SPLIT_NAMES), features, one_hot)
     label = F.col("target_trip_count").cast("double").alias("label")
     return cut_lineage(
         rows.select(

@@ -2,6 +2,7 @@ from datetime import timedelta
 
 import pytest
 from frames import TZ, local, rows_of, splits, utc
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hourgrid.errors import ContractError, ParameterError
@@ -142,6 +143,39 @@ def test_test_targets_never_reach_the_model(spark):
     assert first.where("prediction < 0").isEmpty()
 
 
+def test_zones_beyond_one_nominal_column(spark):
+    zones = model.MAX_ZONES + 8
+    rows = feature_frame(spark).where("zone_id = 1").orderBy("target_hour_utc")
+    picked = rows.where("hour(target_hour_utc) = 12").groupBy("split").agg(F.min("target_hour_utc").alias("at"))
+    one_hour = rows.join(picked.select("at"), F.col("target_hour_utc") == F.col("at")).drop("at")
+    ids = spark.range(zones).select((3 * F.col("id") - 5000).cast("int").alias("zone"))
+    many = one_hour.crossJoin(ids).withColumn("zone_id", F.col("zone")).drop("zone")
+    high = F.expr("(zone_id + 5000) div 128 % 2 = 1")
+    many = many.withColumn("target_trip_count", F.when(high, 50).otherwise(2).cast("long"))
+    many = spark.createDataFrame(many.select(*FEATURES.names).rdd, FEATURES)
+    prepared = model.prepare(many)
+    assert prepared.count() == 3 * zones
+    columns = 3 + len(model.NUMERIC_FEATURES)  # ids span less than 128 ** 3
+    vectors = prepared.select(vector_to_array("features").alias("x"), "zone_id")
+    assert vectors.where(F.size("x") != columns).isEmpty()
+    codes = vectors.select("zone_id", F.slice("x", 1, 3).alias("code")).distinct()
+    assert codes.select("code").distinct().count() == zones
+    assert model.zone_bins(prepared) == model.MAX_BINS
+    small = (model.Candidate("small", 3, 0.5),)
+    chosen = model.select_candidate(prepared, small, max_rounds=4, patience=2)
+    predictions, _ = model.model_predictions(prepared, chosen)
+    assert predictions.count() == 2 * zones
+    off = predictions.agg(F.max("absolute_error")).first()[0]
+    assert off < 15
+
+
+def test_one_hot_has_no_bound(spark, monkeypatch):
+    monkeypatch.setattr(model, "MAX_ZONES", 2)
+    prepared = model.prepare(feature_frame(spark), one_hot=True)
+    sizes = {r.features.size for r in prepared.select("features").collect()}
+    assert sizes == {3 + len(model.NUMERIC_FEATURES)}
+
+
 def test_best_round_respects_patience():
     assert model.best_round([5.0, 4.0, 3.0], 2) == 3
     assert model.best_round([5.0, 4.0, 4.0, 4.0, 1.0], 2) == 2
