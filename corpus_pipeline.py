@@ -35,10 +35,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each linked group; rows without an id stay."""
-    found = near_documents(docs)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each linked group: one with the smallest id, without an id if all are.
+
+    Rows are told apart by a key of their own, so repeated and null ids link nothing.
+    """
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    found = near_documents(keyed, id_col="_row")
+    found = found.select(F.col("doc_id").alias("_row"), "component_id")
+    found = stored(found.join(keyed.select("_row", "doc_id"), "_row"), "near-groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "_row"))
+    kept = found.groupBy("component_id").agg(first.alias("first")).select("first._row")
+    gone = found.select("_row").join(kept, "_row", "left_anti")
+    return keyed.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,15 @@ def test_stages_by_brute_force(spark):
     assert len(ids) == mixed.count()
 
 
+def test_near_duplicates_go_by_row(spark, docs_of):
+    copy, near = " ".join(f"w{k}" for k in range(60)), " ".join(f"w{k}" for k in range(59))
+    other, alone = " ".join(f"x{k}" for k in range(60)), " ".join(f"y{k}" for k in range(60))
+    rows = [(5, other), (5, copy), (3, near), (7, alone), (7, alone), (None, "a b c d"), (None, "a b c d"), (None, None), (8, "")]
+    out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs_of(rows), SF_DIR)
+    want = [(5, other), (3, near), (7, alone), (None, "a b c d"), (None, None), (8, "")]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_run_equals_its_stages(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
     assert out.columns == ["doc_id", "lang", "source", "ids", "n_ids", "exact"]
