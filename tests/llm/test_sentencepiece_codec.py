@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from hourgrid.llm.sentencepiece_codec import (
-    BPE, MODEL_FILE, UNIGRAM, Codec, Vocabulary, decode_documents, encode_documents, read_vocabulary,
+    BPE, MEMO_POINTS, MODEL_FILE, UNIGRAM, Codec, Vocabulary, decode_documents, encode_documents, read_vocabulary,
 )
 
 pytestmark = pytest.mark.skipif(not os.path.exists(MODEL_FILE), reason="no vocabulary file")
@@ -43,6 +43,17 @@ def test_streaming_search_equals_the_lockstep_search(codec, library):
         assert list(codec.search(segment)) == library.encode(segment[1:])
 
 
+def test_both_searches_give_the_same_ids_for_the_same_segments(codec, monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 25))) for _ in range(500)]
+    found = {s for t in texts for s in codec.segments.findall(" " + t) if len(s) <= MEMO_POINTS}
+    streamed = {s: codec.encode_segment(s) for s in found}
+    again = []
+    monkeypatch.setattr(codec, "encode_segment", lambda s: again.append(s) or streamed[s])
+    assert codec.lanes.encode(list(found)) == [streamed[s] for s in found]
+    assert 0 < len(again) < len(found)  # segments written in bytes only
+
+
 def test_a_text_without_blanks_is_committed_on_the_way(codec, library):
     text = "".join(random.Random(3).choices("abcdefghijklmnop-=/", k=30_000))
     ids = codec.search(" " + text)
