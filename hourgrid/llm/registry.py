@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from hourgrid.llm.common import held_out, load, stored
 from hourgrid.llm.embedding_dedup import near_vectors
 from hourgrid.llm.exact_dedup import exact_classes
+from hourgrid.llm.fill_in_middle import fill_in_middle
 from hourgrid.llm.jaccard_join import near_documents
 from hourgrid.llm.language_id import learn_and_identify
 from hourgrid.llm.line_dedup import drop_repeated_lines
 from hourgrid.llm.mixing import Mix, mix_documents, word_count
 from hourgrid.llm.quality import quality
+from hourgrid.llm.quality_rules import clean_documents
 from hourgrid.llm.sentencepiece_codec import encode_documents
 from hourgrid.llm.sharding import byte_shards
+from hourgrid.llm.token_alignment import align_tokens, pair_counts, score_links
 from hourgrid.llm.toxicity import toxicity
 
 TOXIC_FROM = 0.3
@@ -130,6 +133,52 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = clean_documents(load(spark, sf_dir, "documents"), keep=["doc_id"])
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    rows = align_tokens(docs, keep=["row", "doc_id"]).withColumn("groups_sha256", digest)
+    rows = stored(rows.drop("groups"), "aligned")
+    scored = score_links(rows, stored(pair_counts(rows), "pairs"))
+    return scored.select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        "groups_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -141,4 +190,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_token_alignment": op13_token_alignment,
 }
