@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.errors import ContractError
-from hourgrid.functions.calendar import LocalWindow, hour_series, instant, utc_hours_array
+from hourgrid.functions.calendar import LocalWindow, hour_series, instant
 from hourgrid.functions.scoring import count_where, special_dimension
 from hourgrid.operators.classify import SPECIAL, SpecialValues
 from hourgrid.schemas import KEY, STATUSES
@@ -86,18 +86,20 @@ def complete_grid(
 ) -> DataFrame:
     """Every service zone at every hour; zero only where the source was available.
 
-    Entities are spread over the cluster first and expanded in place, so the
-    skeleton is born partitioned by zone. The counts join and the per-zone
-    windows that follow reuse that partitioning. Each zone holds exactly one
+    Entities are spread over the cluster first and expanded in place to the hours
+    of coverage, so the skeleton is born partitioned by zone. The counts join and
+    the per-zone windows that follow reuse that partitioning. Each zone holds exactly one
     row per hour, so partitions stay even however skewed the events are.
     """
     spark = entities.sparkSession
     count = partitions or shuffle_partitions(spark)
-    skeleton = entities.repartition(count, "zone_id").withColumn(
-        "target_hour_utc", F.explode(utc_hours_array(window.utc_start, window.utc_end))
+    # Hour and status as one value, bounded by the window: no join by hour is needed.
+    hours = coverage.agg(
+        F.array_sort(F.collect_list(F.struct("target_hour_utc", "source_status"))).alias("hours")
+    )
+    skeleton = entities.repartition(count, "zone_id").select(
+        "zone_id", F.inline(hours.scalar())
     )
-    # One narrow row for each hour; Spark decides by its size how to join it.
-    status = coverage.select("target_hour_utc", "source_status")
     month = F.lit(window.label)
     if month_of_hour:
         local = F.from_utc_timestamp("target_hour_utc", window.tz)
@@ -105,8 +107,7 @@ def complete_grid(
     observed = counts.select(*KEY, F.col("trip_count").alias("observed_count"))
     available = F.col("source_status") == "available"
     return (
-        skeleton.join(status, "target_hour_utc")
-        .join(observed, list(KEY), "left")
+        skeleton.join(observed, list(KEY), "left")
         .select(
             *KEY,
             F.when(available, F.coalesce("observed_count", F.lit(0))).alias("trip_count"),

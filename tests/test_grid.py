@@ -86,16 +86,24 @@ def test_partition_count_does_not_change_the_grid(spark):
     assert grid.bag_diff_rows(one, many).first()[0] == 0
 
 
-def test_grid_and_windows_share_one_exchange_per_input(spark):
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_grid_and_windows_share_one_exchange_per_input(spark, broadcast):
     from hourgrid.operators.features import build_features
     from hourgrid.operators.splits import assign_splits
     from hourgrid.plans.workload import SPLITS
 
-    full, _, _ = build(spark, [("2026-01-01T00:10", 1)], "2026-01")
-    table = build_features(assign_splits(full, SPLITS))
-    plan = table._jdf.queryExecution().executedPlan().toString()
-    # Above the grid join there is no further exchange.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        full, _, _ = build(spark, [("2026-01-01T00:10", 1)], "2026-01")
+        table = build_features(assign_splits(full, SPLITS))
+        plan = table._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Above the grid join there is no further exchange, and no grid row is joined by hour.
+    joins = [line for line in plan.split("\n") if "SortMergeJoin" in line]
     assert "Exchange" not in plan[: plan.index("SortMergeJoin")]
+    assert "SortMergeJoin [zone_id" in joins[0] and plan.index("Generate") > plan.index(joins[0])
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
