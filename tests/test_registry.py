@@ -1,6 +1,10 @@
 """Every registered query against its SQL on the smallest driver tables."""
 
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from oracle_check import compare, connect
@@ -44,5 +48,20 @@ def test_model_queries_give_rows(spark):
     assert not QUERIES["model_predictions"](spark, folder).isEmpty()
 
 
+def test_entry_imports_without_the_corpus_folders(tmp_path):
+    root = Path(entry_points.__file__).parent
+    skip = shutil.ignore_patterns("llm", "__pycache__")
+    shutil.copytree(root / "hourgrid", tmp_path / "hourgrid", ignore=skip)
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    said = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    own = len(set(QUERIES) - CORPUS)
+    assert said.stdout.split() == [str(own), str(own - len(ROWS_ONLY))]
+
+
 def test_entry_has_rows(spark):
     assert entry_points.entry(spark).count() == 3
