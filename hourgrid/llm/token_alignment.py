@@ -7,9 +7,9 @@ segmented running sums of the tokens' bytes give each token the place where it e
 A hash join of both token tables on (text, end) yields the links; the ends they share
 cut both sequences into groups.
 
-How many links of the corpus hold a pair of ids is counted with a grouped table for
-each batch, and Spark adds the partial counts. The most frequent pairs, up to a fixed
-number, are broadcast to the texts; the other pairs of each text are joined with the
+How many links of the corpus hold a pair of ids is counted with grouped tables of
+bounded size, and Spark adds the partial counts. The most frequent pairs, up to a
+fixed number, are sent to the texts; the other pairs of each text are joined with the
 stored counts.
 """
 
@@ -38,7 +38,9 @@ SPACE = "▁"
 # Segments whose ids a worker remembers, and their longest length in bytes.
 MEMO_SEGMENTS = 200_000
 MEMO_BYTES = 64
-# Pairs with counts that are broadcast, at 16 bytes each.
+# Links that are counted or looked up at a time; a text with more comes by itself.
+LINKS = 1 << 19
+# Pairs with counts that are sent to all workers, at 17 bytes each.
 CACHED_PAIRS = 1 << 20
 
 ADDED = T.StructType(
@@ -172,6 +174,12 @@ def _lists(parts: list[bytes]) -> pa.LargeListArray:
     return pa.LargeListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
+def _codes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that are equal where values are, and the different values by number."""
+    encoded = pa.array(values).dictionary_encode()
+    return encoded.indices.to_numpy(), encoded.dictionary.to_numpy()
+
+
 def _tokens(lists: pa.Array, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Flattened ids, and the text each belongs to."""
     ids = lists.flatten().to_numpy()
@@ -330,17 +338,34 @@ def align_tokens(
     return docs.select(*keep, docs[text_col].alias("_aligned")).mapInArrow(run, schema)
 
 
+def _link_groups(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows of a batch with up to LINKS links, the parent of each link, and its pair of ids."""
+    _, offsets, *_ = batch.column("link_a").buffers()
+    offsets = np.frombuffer(offsets, np.int32)[batch.column("link_a").offset :]
+    for low, high in row_groups(offsets[: batch.num_rows + 1].astype(np.int64), LINKS):
+        part = batch.slice(low, high - low)
+        a, b = (part.column(f"link_{c}").flatten().to_numpy().astype(np.int64) for c in "ab")
+        parents = part.column("link_a").value_parent_indices().to_numpy()
+        yield part, parents, a << 32 | b
+
+
 def pair_counts(aligned: DataFrame) -> DataFrame:
     """(a, b, n, best): links that hold each pair of ids, and whether none of b has more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = pa.table({c: batch.column(f"link_{c}").flatten() for c in "ab"})
-            counted = links.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")])
-            yield from counted.select(["a", "b", "count_all"]).to_batches()
-
-    partial = aligned.select("link_a", "link_b").mapInArrow(count, "a int, b int, n long")
-    counts = stored(partial.groupBy("a", "b").agg(F.sum("n").alias("n")), "pair-counts")
+            for _, _, pairs in _link_groups(batch):
+                links = pa.table({"pair": pairs})
+                counted = links.group_by("pair", use_threads=False).aggregate([([], "count_all")])
+                yield from counted.select(["pair", "count_all"]).to_batches()
+
+    partial = aligned.select("link_a", "link_b").mapInArrow(count, "pair long, n long")
+    counts = partial.groupBy("pair").agg(F.sum("n").alias("n")).select(
+        F.shiftright("pair", 32).cast("int").alias("a"),
+        F.col("pair").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("b"),
+        "n",
+    )
+    counts = stored(counts, "pair-counts")
     # One row for each id of b: bounded by its vocabulary.
     top = F.broadcast(counts.groupBy("b").agg(F.max("n").alias("top")))
     return counts.join(top, "b").select("a", "b", "n", (F.col("n") == F.col("top")).alias("best"))
@@ -350,7 +375,7 @@ def frequent_from(counts: DataFrame, room: int = CACHED_PAIRS) -> int:
     """The smallest power of two such that at most room pairs have as many links."""
     size = F.floor(F.log2("n")).cast("int").alias("size")
     found = sorted(counts.groupBy(size).count().collect(), reverse=True)  # at most 63 rows
-    total, least = 0, 63
+    total, least = 0, 62
     for row in found:
         total += row["count"]
         if total > room:
@@ -364,26 +389,60 @@ def score_links(aligned: DataFrame, counts: DataFrame, room: int = CACHED_PAIRS)
 
     aligned and counts should be stored tables; aligned has a column row that differs
     from row to row. n_best counts links whose pair is best, count_sum adds the counts
-    of their pairs; both are 0 without links.
+    of their pairs; both are 0 without links. Up to room pairs, the most frequent ones,
+    are sent to the texts; links of other pairs are joined with counts. Each such pair
+    is in fewer links than any that was sent, so no key of that join is hot.
     """
+    spark = aligned.sparkSession
     least = frequent_from(counts, room)
-    cached = F.broadcast(counts.where(F.col("n") >= least))
-    links = aligned.select("row", F.explode(F.arrays_zip("link_a", "link_b")).alias("link"))
-    links = links.select("row", F.col("link.link_a").alias("a"), F.col("link.link_b").alias("b"))
-    met = links.join(cached, ["a", "b"], "left").groupBy("row").agg(
-        F.sum("n").alias("sum"),
-        F.sum(F.col("best").cast("long")).alias("best"),
-        F.collect_list(F.when(F.col("n").isNull(), F.struct("a", "b"))).alias("others"),
+    sent = counts.where(F.col("n") >= least).toArrow().combine_chunks()
+    pair = (sent["a"].to_numpy().astype(np.int64) << 32) | sent["b"].to_numpy()
+    order = np.argsort(pair)
+    n, best = sent["n"].to_numpy()[order], sent["best"].to_numpy(zero_copy_only=False)[order]
+    cached = spark.sparkContext.broadcast((pair[order], n, best))
+    keep = [c for c in aligned.columns if c not in ("link_a", "link_b", "n_best", "count_sum")]
+    schema = T.StructType(
+        [aligned.schema[c] for c in keep]
+        + [T.StructField(name, T.LongType(), False) for name in ("n_best", "count_sum")]
+        + [T.StructField("others", T.ArrayType(T.LongType(), False), False)]
     )
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, n, best = cached.value
+        for batch in batches:
+            for part, parents, pairs in _link_groups(batch):
+                codes, different = _codes(pairs)
+                at = np.minimum(np.searchsorted(known, different), max(len(known) - 1, 0))
+                hit = known[at] == different if len(known) else np.zeros(len(at), bool)
+                value = np.where(hit, n[at], 0) if len(known) else np.zeros(len(at), np.int64)
+                tops = hit & best[at] if len(known) else hit
+                rows = part.num_rows
+                running = np.concatenate(([0], np.cumsum(value[codes])))
+                cuts = np.searchsorted(parents, np.arange(rows + 1), "left")
+                missed = ~hit[codes]
+                ends = np.concatenate(([0], np.cumsum(missed)))[cuts].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c) for c in keep),
+                        pa.array(np.bincount(parents[tops[codes]], minlength=rows)),
+                        pa.array(running[cuts[1:]] - running[cuts[:-1]]),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs[missed])),
+                    ],
+                    names=schema.names,
+                )
+
+    met = aligned.mapInArrow(look_up, schema)
+    if least == 1:  # every pair was sent
+        return met.drop("others")
     met = stored(met, "links-met")
-    # Pairs beyond the cache: each is in fewer than least links, so no key is hot.
-    others = met.select("row", F.explode("others").alias("link")).select("row", "link.a", "link.b")
-    others = others.join(counts.where(F.col("n") < least), ["a", "b"]).groupBy("row").agg(
-        F.sum("n").alias("sum"), F.sum(F.col("best").cast("long")).alias("best")
+    pair = F.shiftleft(F.col("a").cast("long"), 32).bitwiseOR(F.col("b").cast("long"))
+    rest = counts.where(F.col("n") < least).select(pair.alias("pair"), "n", "best")
+    others = met.select("row", F.explode("others").alias("pair")).join(rest, "pair").groupBy("row")
+    others = others.agg(
+        F.sum("n").alias("_sum"), F.sum(F.col("best").cast("long")).alias("_best")
     )
-    sums = met.select("row", "sum", "best").union(others).groupBy("row").agg(
-        F.coalesce(F.sum("best"), F.lit(0)).alias("n_best"),
-        F.coalesce(F.sum("sum"), F.lit(0)).alias("count_sum"),
+    return met.join(others, "row", "left").select(
+        *keep,
+        (F.col("n_best") + F.coalesce("_best", F.lit(0))).alias("n_best"),
+        (F.col("count_sum") + F.coalesce("_sum", F.lit(0))).alias("count_sum"),
     )
-    scored = aligned.drop("link_a", "link_b", "n_best", "count_sum").join(sums, "row", "left")
-    return scored.fillna(0, ["n_best", "count_sum"])
