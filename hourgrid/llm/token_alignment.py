@@ -9,7 +9,7 @@ cut both sequences into groups.
 
 How many links of the corpus hold a pair of ids is counted with grouped tables of
 bounded size, and Spark adds the partial counts. The most frequent pairs, up to a
-fixed number, are sent to the texts; the other pairs of each text are joined with the
+fixed number, are broadcast to the links; links of other pairs are joined with the
 stored counts.
 """
 
@@ -33,14 +33,14 @@ from hourgrid.llm.textbatch import row_groups, utf8
 
 BYTE_BPE_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_FILE = "/opt/tokenizers/piece_bpe_32k.model"
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 SPACE = "▁"
+# Counted pairs that a worker gathers before it hands them on.
+PAIRS_HELD = 1 << 19
 # Segments whose ids a worker remembers, and their longest length in bytes.
 MEMO_SEGMENTS = 200_000
 MEMO_BYTES = 64
-# Links that are counted or looked up at a time; a text with more comes by itself.
-LINKS = 1 << 19
-# Pairs with counts that are sent to all workers, at 17 bytes each.
+# Pairs with counts that are broadcast, at 17 bytes each.
 CACHED_PAIRS = 1 << 20
 
 ADDED = T.StructType(
@@ -49,6 +49,8 @@ ADDED = T.StructType(
         T.StructField("groups", T.StringType(), False),
         T.StructField("link_a", T.ArrayType(T.IntegerType(), False), False),
         T.StructField("link_b", T.ArrayType(T.IntegerType(), False), False),
+        T.StructField("pairs", T.ArrayType(T.LongType(), False), False),
+        T.StructField("pair_links", T.ArrayType(T.LongType(), False), False),
     ]
 )
 
@@ -174,12 +176,6 @@ def _lists(parts: list[bytes]) -> pa.LargeListArray:
     return pa.LargeListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
-def _codes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers that are equal where values are, and the different values by number."""
-    encoded = pa.array(values).dictionary_encode()
-    return encoded.indices.to_numpy(), encoded.dictionary.to_numpy()
-
-
 def _tokens(lists: pa.Array, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Flattened ids, and the text each belongs to."""
     ids = lists.flatten().to_numpy()
@@ -244,8 +240,19 @@ def _written(a, group_a, b, group_b, tables: Pair, bounds: np.ndarray) -> list[b
     return [bytes(view[x : max(x, y - 1)]) for x, y in zip(cuts[:-1], cuts[1:])]
 
 
+def _counted(links: list[pa.Table], rows: int) -> list[pa.Array]:
+    """Columns pairs and pair_links for some rows: the counts of links, on the last row."""
+    counted = pa.concat_tables(links).group_by("pair", use_threads=False).aggregate([("n", "sum")])
+    ends = np.zeros(rows + 1, np.int32)
+    ends[-1] = len(counted)
+    return [
+        pa.ListArray.from_arrays(pa.array(ends), counted[name].combine_chunks())
+        for name in ("pair", "n_sum")
+    ]
+
+
 def align(column: pa.Array, tables: Pair) -> list[pa.Array]:
-    """Columns ADDED for the texts of a column."""
+    """Columns ADDED but for the counts, for the texts of a column."""
     docs = len(column)
     raw, at = utf8(column)
     # A blank goes before every text.
@@ -313,7 +320,9 @@ def align_tokens(
     A's tokens are those of a blank and the text under a byte-level vocabulary, B's
     those of the text under a SentencePiece model that puts a blank before it.
     n_a and n_b count them, groups writes them as `a1,a2|b1;a3|b2,b3`, link_a and
-    link_b hold the ids of tokens that end at the same byte. Null and empty texts, and
+    link_b hold the ids of tokens that end at the same byte. pairs (a * 2^32 + b) and
+    pair_links count the links of many rows at once, on one of them; pair_counts adds
+    these partial counts. Null and empty texts, and
     those that either tokenizer does not give back byte by byte, have no tokens. Long
     texts are encoded whole. Rows that repeat are handled each by itself; no rows give
     no rows. Columns of docs that have an added name are replaced. The files are read
@@ -326,41 +335,39 @@ def align_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _pair(sent)
+        links_of_none = pa.table({"pair": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
         for batch in batches:
             _, offsets = utf8(batch.column("_aligned"))
+            held: list[pa.Table] = []
             for low, high in row_groups(offsets, PIECE_BYTES):
                 part = batch.slice(low, high - low)
+                columns = align(part.column("_aligned"), tables)
+                a, b = (x.values.to_numpy().astype(np.int64) for x in columns[-2:])
+                links = pa.table({"pair": a << 32 | b, "n": np.ones(len(a), np.int64)})
+                links = links.group_by("pair", use_threads=False).aggregate([("n", "sum")])
+                held.append(links.select(["pair", "n_sum"]).rename_columns(["pair", "n"]))
+                full = high == batch.num_rows or sum(map(len, held)) >= PAIRS_HELD
+                columns += _counted(held if full else [links_of_none], high - low)
+                held = [] if full else held
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in keep), *align(part.column("_aligned"), tables)],
-                    names=schema.names,
+                    [*(part.column(c) for c in keep), *columns], names=schema.names
                 )
 
     return docs.select(*keep, docs[text_col].alias("_aligned")).mapInArrow(run, schema)
 
 
-def _link_groups(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Rows of a batch with up to LINKS links, the parent of each link, and its pair of ids."""
-    _, offsets, *_ = batch.column("link_a").buffers()
-    offsets = np.frombuffer(offsets, np.int32)[batch.column("link_a").offset :]
-    for low, high in row_groups(offsets[: batch.num_rows + 1].astype(np.int64), LINKS):
-        part = batch.slice(low, high - low)
-        a, b = (part.column(f"link_{c}").flatten().to_numpy().astype(np.int64) for c in "ab")
-        parents = part.column("link_a").value_parent_indices().to_numpy()
-        yield part, parents, a << 32 | b
-
-
 def pair_counts(aligned: DataFrame) -> DataFrame:
-    """(a, b, n, best): links that hold each pair of ids, and whether none of b has more."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, pairs in _link_groups(batch):
-                links = pa.table({"pair": pairs})
-                counted = links.group_by("pair", use_threads=False).aggregate([([], "count_all")])
-                yield from counted.select(["pair", "count_all"]).to_batches()
+    """(a, b, n, best): links that hold each pair of ids, and whether none of b has more.
 
-    partial = aligned.select("link_a", "link_b").mapInArrow(count, "pair long, n long")
-    counts = partial.groupBy("pair").agg(F.sum("n").alias("n")).select(
+    Adds up the partial counts that rows of aligned carry.
+    """
+    partial = aligned.where(F.size("pairs") > 0).select(
+        F.explode(F.arrays_zip("pairs", "pair_links")).alias("part")
+    )
+    counts = partial.groupBy(F.col("part.pairs").alias("pair")).agg(
+        F.sum("part.pair_links").alias("n")
+    )
+    counts = counts.select(
         F.shiftright("pair", 32).cast("int").alias("a"),
         F.col("pair").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("b"),
         "n",
@@ -390,59 +397,24 @@ def score_links(aligned: DataFrame, counts: DataFrame, room: int = CACHED_PAIRS)
     aligned and counts should be stored tables; aligned has a column row that differs
     from row to row. n_best counts links whose pair is best, count_sum adds the counts
     of their pairs; both are 0 without links. Up to room pairs, the most frequent ones,
-    are sent to the texts; links of other pairs are joined with counts. Each such pair
-    is in fewer links than any that was sent, so no key of that join is hot.
+    are broadcast to the links; links of other pairs are joined with their counts. Each
+    such pair is in fewer links than any that was broadcast, so no key of that join is hot.
     """
-    spark = aligned.sparkSession
     least = frequent_from(counts, room)
-    sent = counts.where(F.col("n") >= least).toArrow().combine_chunks()
-    pair = (sent["a"].to_numpy().astype(np.int64) << 32) | sent["b"].to_numpy()
-    order = np.argsort(pair)
-    n, best = sent["n"].to_numpy()[order], sent["best"].to_numpy(zero_copy_only=False)[order]
-    cached = spark.sparkContext.broadcast((pair[order], n, best))
-    keep = [c for c in aligned.columns if c not in ("link_a", "link_b", "n_best", "count_sum")]
-    schema = T.StructType(
-        [aligned.schema[c] for c in keep]
-        + [T.StructField(name, T.LongType(), False) for name in ("n_best", "count_sum")]
-        + [T.StructField("others", T.ArrayType(T.LongType(), False), False)]
-    )
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n, best = cached.value
-        for batch in batches:
-            for part, parents, pairs in _link_groups(batch):
-                codes, different = _codes(pairs)
-                at = np.minimum(np.searchsorted(known, different), max(len(known) - 1, 0))
-                hit = known[at] == different if len(known) else np.zeros(len(at), bool)
-                value = np.where(hit, n[at], 0) if len(known) else np.zeros(len(at), np.int64)
-                tops = hit & best[at] if len(known) else hit
-                rows = part.num_rows
-                running = np.concatenate(([0], np.cumsum(value[codes])))
-                cuts = np.searchsorted(parents, np.arange(rows + 1), "left")
-                missed = ~hit[codes]
-                ends = np.concatenate(([0], np.cumsum(missed)))[cuts].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(part.column(c) for c in keep),
-                        pa.array(np.bincount(parents[tops[codes]], minlength=rows)),
-                        pa.array(running[cuts[1:]] - running[cuts[:-1]]),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs[missed])),
-                    ],
-                    names=schema.names,
-                )
-
-    met = aligned.mapInArrow(look_up, schema)
-    if least == 1:  # every pair was sent
-        return met.drop("others")
-    met = stored(met, "links-met")
-    pair = F.shiftleft(F.col("a").cast("long"), 32).bitwiseOR(F.col("b").cast("long"))
-    rest = counts.where(F.col("n") < least).select(pair.alias("pair"), "n", "best")
-    others = met.select("row", F.explode("others").alias("pair")).join(rest, "pair").groupBy("row")
-    others = others.agg(
-        F.sum("n").alias("_sum"), F.sum(F.col("best").cast("long")).alias("_best")
+    links = aligned.where(F.size("link_a") > 0).select(
+        "row", F.inline(F.arrays_zip(F.col("link_a").alias("a"), F.col("link_b").alias("b")))
     )
-    return met.join(others, "row", "left").select(
-        *keep,
-        (F.col("n_best") + F.coalesce("_best", F.lit(0))).alias("n_best"),
-        (F.col("count_sum") + F.coalesce("_sum", F.lit(0))).alias("count_sum"),
+    cached = F.broadcast(counts.where(F.col("n") >= least))
+    met = links.join(cached, ["a", "b"], "left")
+    sums = [F.sum("n").alias("sum"), F.sum(F.col("best").cast("long")).alias("best")]
+    found = met.groupBy("row").agg(*sums)
+    if least > 1:
+        rest = counts.where(F.col("n") < least)
+        others = met.where(F.col("n").isNull()).select("row", "a", "b").join(rest, ["a", "b"])
+        found = found.unionByName(others.groupBy("row").agg(*sums))
+    found = found.groupBy("row").agg(
+        F.coalesce(F.sum("best"), F.lit(0)).alias("n_best"),
+        F.coalesce(F.sum("sum"), F.lit(0)).alias("count_sum"),
     )
+    gone = ("link_a", "link_b", "pairs", "pair_links", "n_best", "count_sum")
+    return aligned.drop(*gone).join(found, "row", "left").fillna(0, ["n_best", "count_sum"])
