@@ -126,31 +126,71 @@ class Pair:
         self.a = TokenTable.of(byte_level_tokens(byte_file), "|")
         pieces = piece_tokens(self.model)
         self.b = TokenTable.of(pieces, ";")
-        self.blank = array("i", [self.model.piece_to_id(SPACE)]).tobytes()
+        self.blank = self.model.piece_to_id(SPACE)
         # Without pieces across a blank, both tokenizers can be given segments.
         self.segmented = all(b" " not in piece.lstrip(b" ") for piece in pieces)
+        # Two generations: what was not met while the younger one filled is forgotten.
         self.memo: dict[bytes, tuple[bytes, bytes]] = {}
+        self.older: dict[bytes, tuple[bytes, bytes]] = {}
 
     def encode(self, segments: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """Ids, as bytes of int32, of segments that each begin with a blank."""
-        memo = self.memo
-        if len(memo) + len(segments) > MEMO_SEGMENTS:
-            memo.clear()
-        new = [s for s in segments if s not in memo]
-        texts = [s.decode("utf-8", "replace") for s in new]
-        left = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-        right = self.model.encode([t[1:] for t in texts], num_threads=1)
-        fresh = {
-            s: (
-                array("i", x).tobytes(),
-                array("i", y).tobytes() if len(s) > 1 else self.blank,
-            )
-            for s, x, y in zip(new, left, right)
-        }
-        found = [fresh[s] if s in fresh else memo[s] for s in segments]
-        memo.update((s, ids) for s, ids in fresh.items() if len(s) <= MEMO_BYTES)
+        """Ids, as bytes of int32, of different segments that each begin with a blank."""
+        memo, older = self.memo, self.older
+        found = [memo.get(s) or older.get(s) for s in segments]
+        plain, odd = [], []
+        for k, known in enumerate(found):
+            if known is None:
+                (plain if _closed(segments[k]) else odd).append(k)
+        fresh = self._encode_together([segments[k] for k in plain])
+        for k, ids in zip(plain, fresh):
+            found[k] = ids
+        for k in odd:
+            found[k] = self._encode_one(segments[k])
+        if len(memo) + len(segments) > MEMO_SEGMENTS // 2:
+            self.older, self.memo = memo, {}
+        self.memo.update((s, ids) for s, ids in zip(segments, found) if len(s) <= MEMO_BYTES)
         return found
 
+    def _encode_one(self, segment: bytes) -> tuple[bytes, bytes]:
+        text = segment.decode("utf-8", "replace")
+        left = self.tokenizer.encode(text, add_special_tokens=False).ids
+        right = self.model.encode(text[1:]) if len(text) > 1 else [self.blank]
+        return array("i", left).tobytes(), array("i", right).tobytes()
+
+    def _encode_together(self, segments: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """Encode segments as one text, which both tokenizers cut where a segment begins."""
+        if not segments:
+            return []
+        text = b"".join(segments).decode("utf-8")
+        ends = np.cumsum([len(s) for s in segments])
+        sides = []
+        for table, ids in (
+            (self.a, self.tokenizer.encode(text, add_special_tokens=False).ids),
+            (self.b, self.model.encode(text[1:])),
+        ):
+            ids = np.array(ids, np.int32)
+            last = np.cumsum(table.lengths[ids])
+            at = np.searchsorted(last, ends, "left")
+            if last[-1] != ends[-1] or not np.array_equal(last[at], ends):
+                return [self._encode_one(s) for s in segments]
+            raw, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+            sides.append([raw[x:y] for x, y in zip(cuts, cuts[1:])])
+        return list(zip(*sides))
+
+
+def _closed(segment: bytes) -> bool:
+    """Whether nothing after a segment, which begins with a blank, can change its tokens."""
+    last = segment[-1]
+    if last <= 32 or last == 127:
+        return False
+    if segment.isascii():
+        return True
+    try:
+        text = segment.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return not text[-1].isspace() and SPACE not in text
+
 
 def segment_starts(data: np.ndarray, offsets: np.ndarray, segmented: bool) -> np.ndarray:
     """Starts of texts, and of blanks after a character that is no white space."""
