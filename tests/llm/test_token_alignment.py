@@ -76,14 +76,14 @@ def aligned(texts, tables):
     return list(zip(*(c.to_pylist() for c in align(pa.array(texts, pa.string()), tables))))
 
 
-@pytest.mark.parametrize("memo", [0, 4, 100_000])
+@pytest.mark.parametrize("memo", [0, 8, 200_000])
 def test_texts_of_every_kind(tables, monkeypatch, memo):
     monkeypatch.setattr(token_alignment, "MEMO_SEGMENTS", memo)
     assert aligned(TEXTS, tables) == [expected(t) for t in TEXTS]
     assert aligned(TEXTS[::-1], tables) == [expected(t) for t in TEXTS[::-1]]
 
 
-@settings(max_examples=80, deadline=None)
+@settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(
     ["a", "B", " ", "  ", "\n", "\t", "'s", "é", " ", "　", "🙂", "!!", "7", "漢", "́", "the", "\x1c", "\x85"]
 ), max_size=25), max_size=5))
