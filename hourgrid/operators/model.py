@@ -7,19 +7,22 @@ are scored once, by that refit.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark import SparkContext
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.errors import ContractError, ParameterError
+from hourgrid.functions.quantiles import exact_quantiles
 from hourgrid.functions.scoring import absolute_error, clip_at_zero, rounded
 from hourgrid.operators.features import training_rows
 from hourgrid.operators.metrics import forecast_metrics
 from hourgrid.schemas import (
     FIT_SCOPES,
+    HISTORY_FEATURES,
     KEY,
     MODEL_PREDICTIONS,
     NUMERIC_FEATURES,
@@ -33,11 +36,12 @@ MAX_ROUNDS = 500
 PATIENCE = 30
 SEED = 42
 MAX_CANDIDATES = 3
-# Categories of a single nominal zone column; histograms need as many bins.
-# More zones are given by the digits of their ids, to the base of MAX_BINS.
-MAX_ZONES = 8192
-# Rounds of the first fit; each further fit doubles them until patience is spent.
-FIRST_ROUNDS = 32
+# Zones are told apart by the digits of their ids to the base of MAX_BINS; ids are
+# ints, so five digits are enough for any of them.
+ZONE_DIGITS = 5
+LOWEST_ZONE = -(2**31)
+# Rounds that are fitted between two looks at the validation error.
+BLOCK_ROUNDS = 32
 
 
 @dataclass(frozen=True)
@@ -71,59 +75,73 @@ class Selection:
     validation_predictions: DataFrame
 
 
-def zone_indexes(features: DataFrame) -> DataFrame:
-    """(zone_id, zone_index) of all zones, numbered from 0 by id; it sees no target.
+Cuts = dict[str, list[float]]
 
-    The zones are numbered in one task, one row for each.
+
+def learn_cuts(features: DataFrame) -> Cuts:
+    """Bounds of the bins of each history feature: exact quantiles of eligible train rows.
+
+    No target is seen. Repeated quantiles fall together, so there are MAX_BINS bins
+    at most; features of the calendar are their own bins.
     """
-    zones = features.select("zone_id").distinct()
-    order = Window.orderBy("zone_id")
-    return zones.withColumn("zone_index", (F.row_number().over(order) - 1).cast("double"))
+    rows = training_rows(features, "train")
+    values = rows.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(name).alias("feature"), F.col(name).cast("double").alias("value"))
+                    for name in HISTORY_FEATURES
+                ]
+            )
+        )
+    )
+    shares = tuple(k / MAX_BINS for k in range(1, MAX_BINS))
+    found = exact_quantiles(values, "value", shares, ("feature",)).collect()
+    cuts = {name: {r.quantile for r in found if r.feature == name} for name in HISTORY_FEATURES}
+    return {name: sorted(bounds or {0.0}) for name, bounds in cuts.items()}
 
 
-def zone_digits(features: DataFrame) -> dict[str, Column]:
-    """Digits of zone_id, counted from the smallest, as nominal columns; no target is seen.
+def zone_digits() -> dict[str, Column]:
+    """Digits of zone_id as nominal columns: the same number of columns for any zones.
 
-    Different ids differ in a digit, so trees can tell any two zones apart. The ids are
-    ints, so there are at most five digits to the base of MAX_BINS.
+    Different ids differ in a digit, so trees can tell any two zones apart.
     """
-    low, high = features.agg(F.min("zone_id"), F.max("zone_id")).first()
-    code = F.col("zone_id").cast("long") - F.lit(low).cast("long")
+    code = F.col("zone_id").cast("long") - LOWEST_ZONE
     digits = {}
-    while not digits or MAX_BINS ** len(digits) <= high - low:
-        name = f"zone_digit_{len(digits)}"
+    for place in range(ZONE_DIGITS):
+        name = f"zone_digit_{place}"
         nominal = {"ml_attr": {"type": "nominal", "name": name, "num_vals": MAX_BINS}}
-        power = F.lit(MAX_BINS ** len(digits)).cast("long")
-        digit = F.floor(code / power) % MAX_BINS
+        digit = F.floor(code / F.lit(MAX_BINS**place)) % MAX_BINS
         digits[name] = digit.cast("double").alias(name, metadata=nominal)
     return digits
 
 
-def with_vectors(rows: DataFrame, features: DataFrame, one_hot: bool = False) -> DataFrame:
-    """Rows with their feature vector: the zone, then the numeric features in a fixed order.
+def with_vectors(rows: DataFrame, cuts: Cuts, one_hot: bool = False) -> DataFrame:
+    """Rows with their feature vector: the zone's digits, then the numeric features.
 
-    Zones are those of features. Up to MAX_ZONES, the zone is one nominal column, which
-    trees split into two sets of zones; for squared loss the best such split is found
-    among zones ordered by their mean. Beyond, each digit of its id is such a column.
-    With one_hot it is a column for each zone instead, whatever their number.
+    Each digit is a nominal column, which trees split into two sets of values; for
+    squared loss the best such split is found among values ordered by their mean. With
+    one_hot each digit is MAX_BINS indicator columns. History features are given by
+    their bins, so the cuts that trees choose from do not depend on the rows fitted.
     """
-    count = features.select("zone_id").distinct().count()
-    if count > MAX_ZONES and not one_hot:
-        digits = zone_digits(features)
-        rows = rows.where(F.col("zone_id").isNotNull()).withColumns(digits)
-        zone = list(digits)
-    else:
-        zones = zone_indexes(features)
-        nominal = {"ml_attr": {"type": "nominal", "name": "zone_index", "num_vals": max(count, 1)}}
-        rows = rows.join(F.broadcast(zones) if count <= MAX_ZONES else zones, "zone_id")
-        rows = rows.withColumn("zone_index", F.col("zone_index").alias("zone_index", metadata=nominal))
-        zone = ["zone_index"]
+    rows = rows.where(F.col("zone_id").isNotNull()).withColumns(zone_digits())
+    zone = [f"zone_digit_{place}" for place in range(ZONE_DIGITS)]
     if one_hot:
-        encoder = OneHotEncoder(inputCols=zone, outputCols=["zone_onehot"], dropLast=False)
-        rows = encoder.fit(rows.select(*zone)).transform(rows)
-        zone = ["zone_onehot"]
+        names = [f"{name}_onehot" for name in zone]
+        encoder = OneHotEncoder(inputCols=zone, outputCols=names, dropLast=False)
+        rows, zone = encoder.fit(rows).transform(rows), names
+    infinity = float("inf")
+    binned = Bucketizer(
+        inputCols=list(HISTORY_FEATURES),
+        outputCols=[f"{name}_bin" for name in HISTORY_FEATURES],
+        splitsArray=[[-infinity, *cuts[name], infinity] for name in HISTORY_FEATURES],
+    )
+    numeric = [f"{n}_bin" if n in HISTORY_FEATURES else n for n in NUMERIC_FEATURES]
+    rows = binned.transform(rows)
+    for name in HISTORY_FEATURES:  # bins are ordered, not nominal
+        rows = rows.withMetadata(f"{name}_bin", {"ml_attr": {"type": "numeric"}})
     assembler = VectorAssembler(
-        inputCols=[*zone, *NUMERIC_FEATURES], outputCol="features", handleInvalid="error"
+        inputCols=[*zone, *numeric], outputCol="features", handleInvalid="error"
     )
     return assembler.transform(rows)
 
@@ -138,38 +156,34 @@ def check_split_labels(features: DataFrame) -> None:
         raise ContractError("split labels are missing or unknown")
 
 
-def prepare(features: DataFrame, one_hot: bool = False) -> DataFrame:
+def prepare(
+    features: DataFrame, cuts: Cuts | None = None, one_hot: bool = False
+) -> DataFrame:
     """Eligible rows of all splits with their feature vector, written out once.
 
     Rows are spread by key: time-ordered files would leave the train rows in a
     few partitions. The order inside a partition is fixed, so that row sampling
-    repeats from run to run on the same number of partitions.
+    repeats from run to run on the same number of partitions. Without cuts they are
+    learned from the train rows first.
     """
     partitions = shuffle_partitions(features.sparkSession)
-    rows = with_vectors(training_rows(features, *SPLIT_NAMES), features, one_hot)
-    label = F.col("target_trip_count").cast("double").alias("label")
+    rows = training_rows(features, *SPLIT_NAMES)
+    rows = rows.repartition(partitions, *KEY).sortWithinPartitions(*KEY)
+    if cuts is None:
+        rows = cut_lineage(rows)
+        cuts = learn_cuts(rows)
     return cut_lineage(
-        rows.select(
+        with_vectors(rows, cuts, one_hot).select(
             *KEY,
             "split",
             F.col("target_trip_count").alias("actual_trip_count"),
-            label,
+            F.col("target_trip_count").cast("double").alias("label"),
             "features",
         )
-        .repartition(partitions, *KEY)
-        .sortWithinPartitions(*KEY)
     )
 
 
-def zone_bins(rows: DataFrame) -> int:
-    """Histogram bins: the fixed number, or that of the zones if there are more."""
-    attributes = rows.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-    return max([MAX_BINS, *(len(a.get("vals", [])) or a.get("num_vals", 0) for a in attributes.get("nominal", []))])
-
-
-def regressor(
-    candidate: Candidate, rounds: int, seed: int = SEED, bins: int = MAX_BINS
-) -> GBTRegressor:
+def regressor(candidate: Candidate, rounds: int, seed: int = SEED) -> GBTRegressor:
     return GBTRegressor(
         featuresCol="features",
         labelCol="label",
@@ -180,7 +194,7 @@ def regressor(
         minInstancesPerNode=candidate.min_rows_per_leaf,
         subsamplingRate=candidate.row_rate,
         featureSubsetStrategy=str(candidate.feature_rate),
-        maxBins=bins,
+        maxBins=MAX_BINS,
         maxIter=rounds,
         seed=seed,
         cacheNodeIds=False,
@@ -199,27 +213,83 @@ def best_round(errors: list[float], patience: int = PATIENCE) -> int:
     return best + 1
 
 
+@dataclass
+class Growth:
+    """A growing ensemble: its trees with their weights, and what they leave of the label.
+
+    Trees are added in blocks. A block is a fit on the residual, whose first tree counts
+    fully and the others by the step size; no tree is ever fitted again. The residual is
+    written to the checkpoint folder after each block. A tree's seed depends on its place
+    in the whole ensemble alone.
+    """
+
+    candidate: Candidate
+    rows: DataFrame
+    seed: int = SEED
+    block: int = BLOCK_ROUNDS
+    trees: list = field(default_factory=list)
+    weights: list[float] = field(default_factory=list)
+    last: GBTRegressionModel | None = None
+
+    def grow(self, rounds: int) -> GBTRegressionModel:
+        """Add trees, at most a block, and return the block that was added."""
+        if self.last is not None:
+            self.rows = left_over(self.rows, self.last)
+        rounds = min(rounds, self.block)
+        self.last = regressor(self.candidate, rounds, self.seed + len(self.trees)).fit(self.rows)
+        self.trees += list(self.last._java_obj.trees())
+        self.weights += self.last.treeWeights
+        return self.last
+
+    def model(self, rounds: int) -> GBTRegressionModel:
+        """The ensemble of the first trees as one model."""
+        context = SparkContext._active_spark_context
+        package = context._jvm.org.apache.spark.ml.regression
+        trees = context._gateway.new_array(package.DecisionTreeRegressionModel, rounds)
+        weights = context._gateway.new_array(context._jvm.double, rounds)
+        for k in range(rounds):
+            trees[k], weights[k] = self.trees[k], self.weights[k]
+        java = package.GBTRegressionModel(self.last.uid, trees, weights, self.last.numFeatures)
+        return GBTRegressionModel(java).setFeaturesCol("features").setPredictionCol("prediction_raw")
+
+
+def left_over(rows: DataFrame, block: GBTRegressionModel) -> DataFrame:
+    """Rows whose label is what a block of trees leaves of it, written out."""
+    scored = block.transform(rows)
+    return cut_lineage(
+        scored.withColumn("label", F.col("label") - F.col("prediction_raw")).select(*rows.columns)
+    )
+
+
+def fit_rounds(
+    rows: DataFrame, candidate: Candidate, rounds: int, seed: int = SEED,
+    block_rounds: int = BLOCK_ROUNDS,
+) -> Growth:
+    """An ensemble of a fixed number of trees."""
+    growth = Growth(candidate, rows, seed, block_rounds)
+    while len(growth.trees) < rounds:
+        growth.grow(rounds - len(growth.trees))
+    return growth
+
+
 def fit_candidate(
     train: DataFrame, validation: DataFrame, candidate: Candidate, max_rounds: int,
-    patience: int, seed: int,
+    patience: int, seed: int, block_rounds: int = BLOCK_ROUNDS,
 ) -> tuple[GBTRegressionModel, int]:
     """Fit on train until validation MAE has not improved for `patience` rounds.
 
-    A fit begins with the trees of any shorter one, as each tree has a seed of its
-    own. So fits of 32, 64, 128, ... rounds see the errors that one fit of max_rounds
-    would see, and stop where it would stop. The best round's model is fitted last.
+    The ensemble grows block by block; the errors of a block's rounds are those of its
+    trees on what the blocks before it left of the validation labels. The model is the
+    ensemble's first trees up to the best round.
     """
-    bins = zone_bins(train)
-    rounds = min(FIRST_ROUNDS, max_rounds)
+    growth, errors = Growth(candidate, train, seed, block_rounds), []
     while True:
-        model = regressor(candidate, rounds, seed, bins).fit(train)
-        best = best_round(model.evaluateEachIteration(validation, "absolute"), patience)
-        if rounds == max_rounds or best + patience <= rounds:
-            break
-        rounds = min(2 * rounds, max_rounds)
-    if best < rounds:
-        model = regressor(candidate, best, seed, bins).fit(train)
-    return model, best
+        block = growth.grow(max_rounds - len(errors))
+        errors += block.evaluateEachIteration(validation, "absolute")
+        best = best_round(errors, patience)
+        if len(errors) == max_rounds or best + patience <= len(errors):
+            return growth.model(best), best
+        validation = left_over(validation, block)
 
 
 def predict(
@@ -290,7 +360,7 @@ def refit(
 ) -> GBTRegressionModel:
     """Fit the chosen candidate on train + validation, rounds locked."""
     rows = prepared.where(F.col("split").isin("train", "validation"))
-    return regressor(candidate, rounds, seed, zone_bins(rows)).fit(rows)
+    return fit_rounds(rows, candidate, rounds, seed).model(rounds)
 
 
 def model_predictions(
