@@ -5,9 +5,130 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.functions.calendar import LocalWindow, hour_series, ntz
+from hourgrid.functions.calendar import (
+    LocalWindow,
+    hour_of_number,
+    hour_series,
+    ntz,
+    utc_hour_number,
+)
 from hourgrid.functions.scoring import count_where, rounded, special_dimension
-from hourgrid.operators.classify import SPECIAL, SpecialValues
+from hourgrid.operators.classify import SPECIAL, SpecialValues, time_disposition
+from hourgrid.session import require_utc
+
+
+def raw_states(
+    events: DataFrame,
+    window: LocalWindow,
+    ts_col: str = "pickup_ts",
+    zone_col: str = "zone_raw",
+    month_col: str | None = None,
+) -> DataFrame:
+    """Mergeable state of all raw rows: count, first and last time of each cell.
+
+    A cell is a raw zone, a local hour, the UTC hour or the label that the timestamp
+    decides, and the source month. Every section of the profile and the aggregation
+    fold these cells, so raw events are read once. Cells are combined before the
+    exchange, and there are never more of them than rows.
+    """
+    require_utc(events.sparkSession)
+    ts = F.col(ts_col).cast("timestamp_ntz")
+    month = F.lit(window.label) if month_col is None else F.col(month_col)
+    rejected = time_disposition(ts, window, None if month_col is None else month)
+    return (
+        events.select(
+            F.col(zone_col).alias("zone_raw"),
+            ts.alias("ts"),
+            F.date_trunc("hour", ts).cast("timestamp_ntz").alias("pickup_hour"),
+            rejected.alias("rejected"),
+            F.when(rejected.isNull(), utc_hour_number(ts, window)).alias("hour_number"),
+            month.alias("source_month"),
+        )
+        .groupBy("zone_raw", "pickup_hour", "rejected", "hour_number", "source_month")
+        .agg(
+            F.count("*").alias("cell_rows"),
+            F.min("ts").alias("first_ts"),
+            F.max("ts").alias("last_ts"),
+        )
+    )
+
+
+def _inside(window: LocalWindow):
+    """Cells whose hour lies in the window; windows begin and end at whole hours."""
+    return (F.col("pickup_hour") >= ntz(window.start)) & (F.col("pickup_hour") < ntz(window.end))
+
+
+def profile_of_states(states: DataFrame, window: LocalWindow) -> DataFrame:
+    """raw_profile from raw_states."""
+    hour, start, end = F.col("pickup_hour"), ntz(window.start), ntz(window.end)
+
+    def rows(condition=None):
+        hit = F.col("cell_rows") if condition is None else F.when(condition, F.col("cell_rows"))
+        return F.coalesce(F.sum(hit), F.lit(0))
+
+    by_zone = states.groupBy("zone_raw").agg(
+        rows().alias("total_rows"),
+        rows(hour.isNull()).alias("pickup_null_rows"),
+        F.min("first_ts").alias("pickup_min"),
+        F.max("last_ts").alias("pickup_max"),
+        rows(hour < start).alias("before_month_rows"),
+        rows(hour >= end).alias("after_month_rows"),
+        rows((hour >= start) & (hour < end)).alias("within_month_rows"),
+    )
+
+    def total(name: str):
+        return F.coalesce(F.sum(name), F.lit(0)).alias(name)
+
+    return by_zone.agg(
+        total("total_rows"),
+        total("pickup_null_rows"),
+        F.coalesce(F.sum(F.when(F.col("zone_raw").isNull(), F.col("total_rows"))), F.lit(0)).alias(
+            "zone_null_rows"
+        ),
+        F.min("pickup_min").alias("pickup_min"),
+        F.max("pickup_max").alias("pickup_max"),
+        total("before_month_rows"),
+        total("after_month_rows"),
+        total("within_month_rows"),
+        F.count("zone_raw").alias("distinct_raw_zone_ids"),
+    )
+
+
+def zones_of_states(
+    states: DataFrame, lookup: DataFrame, window: LocalWindow, special: SpecialValues = SPECIAL
+) -> DataFrame:
+    """zone_cells from raw_states."""
+    counted = (
+        states.where(_inside(window))
+        .groupBy(F.col("zone_raw").cast("int").alias("raw_zone_id"))
+        .agg(F.sum("cell_rows").alias("zone_rows"))
+    )
+    return _with_dimension(counted, lookup, special)
+
+
+def hours_of_states(states: DataFrame, window: LocalWindow) -> DataFrame:
+    """hourly_coverage from raw_states."""
+    inside = states.where(_inside(window)).groupBy("pickup_hour")
+    return inside.agg(F.sum("cell_rows").alias("rows"))
+
+
+def time_cells_of_states(states: DataFrame) -> DataFrame:
+    """Cells of classify.time_cells from raw_states."""
+    zone = F.when(F.col("rejected").isNull(), F.col("zone_raw").cast("int"))
+    keys = {
+        "zone_missing": zone.isNull(),
+        "zone_id": F.coalesce(zone, F.lit(0)),
+        "hour_number": F.col("hour_number"),
+        "rejected": F.col("rejected"),
+        "source_month": F.col("source_month"),
+    }
+    return (
+        states.select(*[c.alias(name) for name, c in keys.items()], "cell_rows")
+        .groupBy(*keys)
+        .agg(F.sum("cell_rows").alias("cell_rows"))
+        .withColumn("target_hour_utc", hour_of_number(F.col("hour_number")))
+        .drop("hour_number")
+    )
 
 
 def raw_profile(
@@ -54,6 +175,10 @@ def zone_cells(
         .groupBy(F.col(zone_col).cast("int").alias("raw_zone_id"))
         .agg(F.count("*").alias("zone_rows"))
     )
+    return _with_dimension(counted, lookup, special)
+
+
+def _with_dimension(counted: DataFrame, lookup: DataFrame, special: SpecialValues) -> DataFrame:
     dimension = lookup.where(F.col("zone_id").isNotNull()).select(
         F.col("zone_id").alias("lookup_zone_id"),
         "borough",

@@ -1,26 +1,32 @@
 """The whole backtest as a chain of written tables.
 
 Every stage reads the table the stage before has written, so a lost executor
-costs at most the stage in flight, and raw events are aggregated exactly once.
-A stage writes to a version of its own. Only when the contracts hold on what was
-written does that version become the current one, which later stages read; a
-broken contract leaves the current tables as they were.
+costs at most the stage in flight. Raw events are read once, into cells with
+mergeable states from which the profile and the counts are folded, and once more
+for the manifest, of which only changed files are read again.
+
+A run writes to a folder of its own. Only when all stages are done and all
+contracts hold is one record added that names the versions of all its tables.
+Readers take the last complete record: they see one run or another, never parts of
+two, and a broken contract in any stage leaves them on the run before.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.errors import ContractError
 from hourgrid.functions.calendar import LocalWindow
 from hourgrid.operators import classify, compare, counts, features, grid, metrics, model, profile
 from hourgrid.operators.baseline import SEASONAL_LAG_HOURS, seasonal_naive
-from hourgrid.operators.integrity import manifest, manifest_check
+from hourgrid.operators.integrity import file_manifest, folded, manifest, manifest_check
 from hourgrid.operators.serve import SERVED, ForecastStore, predictions_to_serve
 from hourgrid.operators.splits import Splits, assign_splits, check_splits
 from hourgrid.schemas import (
@@ -46,6 +52,13 @@ from hourgrid.sources.tables import (
 )
 
 TABLES = ("counts", "grid", "baseline", "features", "model_predictions", "served")
+# What a committed run also has: tables that stages leave to later ones, and its manifest.
+EXTRAS = ("states", "cells", "comparison", "model", "metrics/baseline", "metrics/model", "manifest")
+COMMIT = "sequence long, run string, committed_at timestamp, tables map<string,string>"
+
+
+def new_run() -> str:
+    return uuid.uuid4().hex
 
 
 @dataclass(frozen=True)
@@ -68,20 +81,45 @@ class BacktestConfig:
 
 @dataclass(frozen=True)
 class Backtest:
-    """One run: raw events and a lookup in, tables and reports under out."""
+    """One run: raw events and a lookup in, tables and reports under out.
+
+    event_files are the paths events was read from, if it was; the manifest then
+    knows their files one by one. Stages called by themselves work on what this run
+    has written, and on the committed run where it has written nothing.
+    """
 
     spark: SparkSession
     events: DataFrame
     lookup: DataFrame
     config: BacktestConfig
     out: str
+    event_files: tuple[str, ...] = ()
+    run_id: str = field(default_factory=new_run)
+    written: dict[str, str] = field(default_factory=dict)
+
+    def fresh(self) -> Backtest:
+        """The same backtest as a run that has written nothing yet."""
+        return replace(self, run_id=new_run(), written={})
 
     def path(self, name: str) -> str:
-        return f"{self.out}/{name}"
+        """Where this run writes."""
+        return f"{self.out}/runs/{self.run_id}/{name}"
 
     def report(self, name: str, sections: dict[str, DataFrame]) -> None:
         write_report(nested_report(sections), self.path(f"reports/{name}"))
 
+    def _own(self, name: str) -> str:
+        """A path for a table of this run; a second version gets a name of its own."""
+        path = self.path(name)
+        return path if name not in self.written else f"{path}-{uuid.uuid4().hex}"
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table that later stages read."""
+        path = self._own(name)
+        df.write.option("compression", "zstd").parquet(path)
+        self.written[name] = path
+        return self.spark.read.parquet(path)
+
     def _store(
         self,
         df: DataFrame,
@@ -90,62 +128,98 @@ class Backtest:
         partition_by: str | None = None,
         check: Callable[[DataFrame], object] | None = None,
     ) -> DataFrame:
-        """Write a version of a stage table, check it, and only then make it current."""
+        """Write a stage table and check it; later stages read it only if it passed."""
         assert_schema(df, schema)
-        version = f"{self.path(name)}/version-{uuid.uuid4().hex}"
-        rows = write_sorted(df, version, partition_by)
-        written = check_written(self.spark, version, schema, rows)
+        path = self._own(name)
+        rows = write_sorted(df, path, partition_by)
+        table = check_written(self.spark, path, schema, rows)
         if check is not None:
-            check(written)
-        self._publish(name, version)
-        return written
+            check(table)
+        self.written[name] = path
+        return table
 
-    def _publish(self, name: str, version: str) -> None:
-        pointer = self.spark.range(1).select(F.lit(version).alias("path"))
-        pointer.coalesce(1).write.mode("overwrite").json(self.path(f"current/{name}"))
+    def commits(self) -> DataFrame:
+        """Records of complete runs. A record is one file, which its writer's commit moves in whole."""
+        folder = f"{self.out}/commits"
+        try:
+            return self.spark.read.schema(COMMIT).json(folder)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], COMMIT)
+
+    def committed(self) -> Row | None:
+        """The last complete run, if there is one."""
+        return self.commits().orderBy(F.desc("sequence"), "run").first()
+
+    def commit(self) -> None:
+        """Make this run, whole, the one that readers see."""
+        missing = [name for name in (*TABLES, *EXTRAS) if name not in self.written]
+        if missing:
+            raise ContractError(f"the run has not written {', '.join(missing)}")
+        last = self.committed()
+        record = self.spark.range(1).select(
+            F.lit((last.sequence if last else 0) + 1).cast("long").alias("sequence"),
+            F.lit(self.run_id).alias("run"),
+            F.current_timestamp().alias("committed_at"),
+            F.create_map(*[F.lit(x) for pair in self.written.items() for x in pair]).alias("tables"),
+        )
+        record.coalesce(1).write.mode("append").json(f"{self.out}/commits")
 
     def current(self, name: str) -> str:
-        """Path of the version of a table that passed its checks last."""
-        return self.spark.read.schema("path string").json(self.path(f"current/{name}")).first().path
+        """Path of a table: this run's if it has written it, else the committed one's."""
+        if name in self.written:
+            return self.written[name]
+        last = self.committed()
+        if last is None or name not in last.tables:
+            raise ContractError(f"neither this run nor a committed one has a table {name}")
+        return last.tables[name]
 
     def table(self, name: str, schema) -> DataFrame:
         return read_table(self.spark, self.current(name), schema=schema)
 
-    def _record(self, name: str, recorded: DataFrame) -> None:
-        recorded.write.mode("overwrite").parquet(self.path(f"metrics/{name}"))
+    def kept(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.current(name))
 
     # -- stages -------------------------------------------------------------
 
-    def profile(self) -> None:
+    def scan(self) -> DataFrame:
+        """The pass over raw events: cells with their counts and first and last times."""
         c = self.config
-        required_columns(self.events, [c.ts_col, c.zone_col])
-        require_rows(self.events)
-        zones = profile.zone_cells(
-            self.events, self.lookup, c.window, c.ts_col, c.zone_col, c.special
+        names = [c.ts_col, c.zone_col, *([c.month_col] if c.month_col else [])]
+        required_columns(self.events, names)
+        states = self._keep(
+            "states",
+            profile.raw_states(self.events, c.window, c.ts_col, c.zone_col, c.month_col),
         )
-        hourly = profile.hourly_coverage(self.events, c.window, c.ts_col)
+        return require_rows(states)
+
+    def profile(self) -> None:
+        c = self.config
+        states = self.kept("states")
+        zones = profile.zones_of_states(states, self.lookup, c.window, c.special)
+        hourly = profile.hours_of_states(states, c.window)
         self.report(
             "profile",
             {
-                "raw": profile.raw_profile(self.events, c.window, c.ts_col, c.zone_col),
+                "raw": profile.profile_of_states(states, c.window),
                 "zones": profile.zone_profile(zones),
                 "coverage": profile.coverage_summary(hourly, c.window),
-                "missing_hours": profile.missing_hours(hourly, c.window),
             },
         )
+        write_report(profile.missing_hours(hourly, c.window), self.path("reports/missing_hours"))
         write_report(profile.invalid_zones(zones), self.path("reports/invalid_zones"))
 
     def aggregate(self) -> DataFrame:
-        """The only pass over raw events: labelled cells, then observed counts."""
+        """Labelled cells, then observed counts."""
         c = self.config
         grid.check_lookup(self.lookup)
-        cells = classify.label_cells(
-            classify.time_cells(self.events, c.window, c.ts_col, c.zone_col, c.month_col),
-            self.lookup,
-            c.special,
+        cells = self._keep(
+            "cells",
+            classify.label_cells(
+                profile.time_cells_of_states(self.kept("states")), self.lookup, c.special
+            ),
         )
-        cells.write.mode("overwrite").option("compression", "zstd").parquet(self.path("cells"))
-        cells = self.cells()
         observed = self._store(
             counts.hourly_counts(cells),
             "counts",
@@ -164,7 +238,7 @@ class Backtest:
         return observed
 
     def cells(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("cells"))
+        return self.kept("cells")
 
     def complete(self) -> DataFrame:
         c = self.config
@@ -184,13 +258,8 @@ class Backtest:
             "source_month",
             lambda table: grid.check_grid(table, c.window.utc_start, c.window.utc_end),
         )
-        self.report(
-            "grid",
-            {
-                "summary": grid.grid_summary(written),
-                "uncovered_hours": grid.uncovered_hours(coverage),
-            },
-        )
+        self.report("grid", {"summary": grid.grid_summary(written)})
+        write_report(grid.uncovered_hours(coverage), self.path("reports/uncovered_hours"))
         return written
 
     def recount(self) -> None:
@@ -213,10 +282,10 @@ class Backtest:
             seasonal_naive(self._assigned(), self.config.lag_hours),
             "baseline",
             BASELINE_PREDICTIONS,
+            check=lambda written: metrics.check_scored(metrics.split_metrics(written)),
         )
-        scores = metrics.split_metrics(predictions)
-        metrics.check_scored(scores)
-        self._record("baseline", scores.select("split", "mae", "wape"))
+        scores = cut_lineage(metrics.split_metrics(predictions))
+        self._keep("metrics/baseline", scores.select("split", "mae", "wape"))
         self.report(
             "baseline",
             {
@@ -242,19 +311,25 @@ class Backtest:
         c = self.config
         table = self.table("features", FEATURES)
         model.check_split_labels(table)
-        prepared = model.prepare(table)
+        cuts = model.learn_cuts(table)
+        prepared = model.prepare(table, cuts)
         chosen = model.select_candidate(
             prepared, c.candidates, c.max_rounds, c.patience, c.seed
         )
         predictions, final = model.model_predictions(prepared, chosen, c.seed)
+        candidates = model.candidate_report(chosen)
+        model.check_isolation(candidates, final.getNumTrees)
         written = self._store(
             predictions, "model_predictions", MODEL_PREDICTIONS, check=compare.check_predictions
         )
-        final.write().overwrite().save(self.path("model"))
-        candidates = model.candidate_report(chosen)
-        model.check_isolation(candidates, final.getNumTrees)
+        path = self._own("model")
+        final.write().save(f"{path}/trees")
+        bounds = [(name, values) for name, values in cuts.items()]
+        bounds = self.spark.createDataFrame(bounds, "feature string, cuts array<double>")
+        bounds.coalesce(1).write.json(f"{path}/cuts")
+        self.written["model"] = path
         by_split = metrics.forecast_metrics(written, "split")
-        self._record("model", by_split.select("split", "mae", "wape"))
+        self._keep("metrics/model", by_split.select("split", "mae", "wape"))
         by_hour = written.withColumn("utc_hour", F.hour("target_hour_utc"))
         self.report(
             "model",
@@ -276,10 +351,9 @@ class Backtest:
         compare.check_alignment(predicted, naive)
         if not compare.uncovered_zones(predicted, self.lookup).isEmpty():
             raise ContractError("some predicted zones have no lookup row")
-        compare.align_predictions(predicted, naive).write.mode("overwrite").parquet(
-            self.path("comparison")
+        rows = require_rows(
+            self._keep("comparison", compare.align_predictions(predicted, naive))
         )
-        rows = require_rows(self.spark.read.parquet(self.path("comparison")))
         by_zone = cut_lineage(compare.zone_metrics(rows, self.lookup))
         by_hour = cut_lineage(compare.hour_metrics(rows))
         residuals = cut_lineage(compare.residual_metrics(rows))
@@ -309,8 +383,7 @@ class Backtest:
         """The metrics recorded when the predictions were written must come out again."""
         recorded = None
         for predictor in ("model", "baseline"):
-            one = self.spark.read.parquet(self.path(f"metrics/{predictor}"))
-            one = one.where(F.col("split") == "test").select(
+            one = self.kept(f"metrics/{predictor}").where(F.col("split") == "test").select(
                 F.lit(predictor).alias("predictor"), "mae", "wape"
             )
             recorded = one if recorded is None else recorded.unionByName(one)
@@ -339,32 +412,59 @@ class Backtest:
         test = self.config.splits.test
         return ForecastStore(self.table("served", SERVED), self.lookup, test[0], test[1])
 
+    def fingerprints(self, known: DataFrame | None = None) -> DataFrame:
+        """Fingerprints of the inputs and of every table, file by file where there are files.
+
+        Files that known has under the same name, size and time are not read.
+        """
+        c = self.config
+        parts = []
+        for name in TABLES:
+            parts.append(file_manifest(self.spark, name, (self.current(name),), None, known))
+        loose = {"lookup": self.lookup}
+        if self.event_files:
+            columns = (c.ts_col, c.zone_col, *([c.month_col] if c.month_col else []))
+            parts.append(file_manifest(self.spark, "events", self.event_files, columns, known))
+        else:
+            loose["events"] = self.events
+        whole = manifest(loose).select(
+            "dataset",
+            "schema",
+            F.lit(None).cast("string").alias("file_path"),
+            F.lit(None).cast("long").alias("file_size"),
+            F.lit(None).cast("timestamp").alias("file_time"),
+            "rows",
+            F.col("hash_sum").cast("decimal(38,0)").alias("hash_sum"),
+            "hash_xor",
+        )
+        return reduce(DataFrame.unionByName, parts, whole)
+
     def write_manifest(self) -> DataFrame:
         """Rows, schema and fingerprint of the inputs and of every table of the run."""
-        manifest(self.datasets()).write.mode("overwrite").parquet(self.path("manifest"))
-        return self.spark.read.parquet(self.path("manifest"))
-
-    def datasets(self) -> dict[str, DataFrame]:
-        tables = {name: self.spark.read.parquet(self.current(name)) for name in TABLES}
-        return {"events": self.events, "lookup": self.lookup, **tables}
+        return self._keep("manifest", self.fingerprints())
 
     def verify(self) -> None:
         """Raise unless inputs and tables are still those that the manifest records."""
-        recorded = self.spark.read.parquet(self.path("manifest"))
-        changed = manifest_check(recorded, manifest(self.datasets())).take(10)
+        recorded = self.kept("manifest")
+        now = self.fingerprints(recorded)
+        changed = manifest_check(folded(recorded), folded(now)).take(10)
         if changed:
             names = sorted(f"{row.dataset} ({row.reason})" for row in changed)
             raise ContractError(f"data differ from the manifest: {', '.join(names)}")
 
     def run(self) -> ForecastStore:
+        """Run all stages anew and commit; an error leaves the committed run as it was."""
         configure(self.spark)
-        self.profile()
-        self.aggregate()
-        self.complete()
-        self.baseline()
-        self.features()
-        self.model()
-        store = self.serve(self.analyse())
-        self.write_manifest()
-        self.verify()
-        return store
+        one = self.fresh()
+        one.scan()
+        one.profile()
+        one.aggregate()
+        one.complete()
+        one.baseline()
+        one.features()
+        one.model()
+        one.serve(one.analyse())
+        one.write_manifest()
+        one.verify()
+        one.commit()
+        return one.store()

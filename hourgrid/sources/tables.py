@@ -109,8 +109,8 @@ def write_report(report: DataFrame, path: str) -> None:
 def nested_report(sections: dict[str, DataFrame]) -> DataFrame:
     """Metric frames as one row per section: name and the rows as a JSON array.
 
-    For frames of a fixed or hour-bounded size only: every section becomes one
-    value. Reports with a row per zone are written as their own frames.
+    For frames of a fixed size only: every section becomes one value. Reports with a
+    row per zone or per hour of the window are written as their own frames.
     """
     parts = [
         df.select(F.struct(*df.columns).alias("row"))
