@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts that mark a dimension row as outside the service area.
@@ -44,3 +44,25 @@ def rounded(value: Column, digits: int = 6) -> Column:
 
 def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
+
+
+def with_key_counts(
+    df: DataFrame, by: tuple[str, ...], measures: dict[str, Column], folds: dict[str, Column]
+) -> DataFrame:
+    """Measures of each group with its zone_count and hour_count, without expanding rows.
+
+    Several distinct counts in one aggregate would make several rows of each input row.
+    Instead measures are taken by zone and folded, which counts the zones on the way;
+    the hours are counted in a second aggregate that reads the keys alone. Both combine
+    before their exchange. folds name how measures are merged over zones; a sum if not.
+    """
+    by_zone = df.groupBy(*by, "zone_id").agg(*[m.alias(name) for name, m in measures.items()])
+    zones = by_zone.groupBy(*by).agg(
+        *[folds.get(name, F.sum(name)).alias(name) for name in measures],
+        F.count("zone_id").alias("zone_count"),
+    )
+    hours = df.groupBy(*by, "target_hour_utc").agg(F.lit(1).alias("one")).groupBy(*by)
+    hours = hours.agg(F.count("target_hour_utc").alias("hour_count"))
+    names = [*measures, "zone_count", "hour_count"]
+    both = zones.unionByName(hours, allowMissingColumns=True)
+    return both.groupBy(*by).agg(*[F.max(name).alias(name) for name in names])

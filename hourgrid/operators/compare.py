@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.errors import ContractError, ParameterError
 from hourgrid.functions.quantiles import exact_quantiles
-from hourgrid.functions.scoring import count_where, ratio, rounded
+from hourgrid.functions.scoring import count_where, ratio, rounded, with_key_counts
 from hourgrid.operators.counts import duplicate_keys
 from hourgrid.schemas import KEY, MODEL_PREDICTIONS
 
@@ -161,15 +161,31 @@ def comparison_summary(comparison: DataFrame) -> DataFrame:
         again = F.abs(actual - F.col(f"{side}_prediction"))
         return F.max(F.abs(F.col(f"{side}_absolute_error") - again))
 
-    return comparison.agg(
-        F.count("*").alias("rows"),
-        F.count_distinct("zone_id").alias("zone_count"),
-        F.count_distinct("target_hour_utc").alias("hour_count"),
-        F.min("target_hour_utc").alias("first_target_hour_utc"),
-        F.max("target_hour_utc").alias("last_target_hour_utc"),
-        rounded(F.min("model_prediction")).alias("min_model_prediction"),
-        (gap("model") <= ERROR_TOLERANCE).alias("model_errors_consistent"),
-        (gap("baseline") <= ERROR_TOLERANCE).alias("baseline_errors_consistent"),
+    measures = {
+        "rows": F.count("*"),
+        "first_hour": F.min("target_hour_utc"),
+        "last_hour": F.max("target_hour_utc"),
+        "least": F.min("model_prediction"),
+        "model_gap": gap("model"),
+        "baseline_gap": gap("baseline"),
+    }
+    folds = {
+        "first_hour": F.min("first_hour"),
+        "last_hour": F.max("last_hour"),
+        "least": F.min("least"),
+        "model_gap": F.max("model_gap"),
+        "baseline_gap": F.max("baseline_gap"),
+    }
+    found = with_key_counts(comparison, (), measures, folds)
+    return found.select(
+        F.coalesce("rows", F.lit(0)).alias("rows"),
+        "zone_count",
+        "hour_count",
+        F.col("first_hour").alias("first_target_hour_utc"),
+        F.col("last_hour").alias("last_target_hour_utc"),
+        rounded(F.col("least")).alias("min_model_prediction"),
+        (F.col("model_gap") <= ERROR_TOLERANCE).alias("model_errors_consistent"),
+        (F.col("baseline_gap") <= ERROR_TOLERANCE).alias("baseline_errors_consistent"),
     )
 
 

@@ -2,29 +2,26 @@
 
 All window expressions share one partitioning and one order, so the whole
 feature table needs a single exchange on zone_id (none when it follows the
-grid). Rolling means come from running sums: each row costs the same whatever
-the window length, and integer sums keep the result exact.
+grid). Frames are ranges of time, right on frames with missing hours too. Rolling
+means come from running sums: each row costs the same whatever the window length,
+and integer sums keep the result exact.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.errors import ContractError
-from hourgrid.functions.scoring import count_where
+from hourgrid.functions.scoring import count_where, with_key_counts
 from hourgrid.schemas import FEATURES, HISTORY_FEATURES, KEY
 
 LAGS = (1, 24, 168)
 ROLLING = (24, 168)
 
 
-def history() -> Window:
-    return Window.partitionBy("zone_id").orderBy("target_hour_utc")
-
-
 def calendar_columns(hour: Column) -> dict[str, Column]:
     """UTC hour, ISO weekday (Monday 1 .. Sunday 7), month and weekend flag."""
     weekday = F.weekday(hour) + 1
@@ -40,46 +37,51 @@ def with_calendar(df: DataFrame) -> DataFrame:
     return df.withColumns(calendar_columns(F.col("target_hour_utc")))
 
 
-def with_lags(df: DataFrame, lags: tuple[int, ...] = LAGS) -> DataFrame:
-    """Value n rows earlier in the zone; equals n hours on a rectangular grid."""
-    return df.withColumns(
-        {f"lag_{n}h": F.lag("target_trip_count", n).over(history()) for n in lags}
+def _over(aggregate: str, upto: int, since: int | None = None) -> Column:
+    """An aggregate of a zone's rows from since (the beginning if not given) to upto hours ago."""
+    start = "UNBOUNDED" if since is None else f"INTERVAL {since} HOURS"
+    return F.expr(
+        f"{aggregate} OVER (PARTITION BY zone_id ORDER BY target_hour_utc "
+        f"RANGE BETWEEN {start} PRECEDING AND INTERVAL {upto} HOURS PRECEDING)"
     )
 
 
+def with_lags(df: DataFrame, lags: tuple[int, ...] = LAGS) -> DataFrame:
+    """Value exactly n hours earlier in the zone; NULL where that hour has no row.
+
+    Frames are over the time, so missing hours shift nothing. A zone has one row an hour.
+    """
+    return df.withColumns({f"lag_{n}h": _over("max(target_trip_count)", n, n) for n in lags})
+
+
 def with_rolling_means(df: DataFrame, windows: tuple[int, ...] = ROLLING) -> DataFrame:
-    """Mean of the n previous rows, NULL unless all n are present and known."""
-    earlier = history().rowsBetween(Window.unboundedPreceding, -1)
-    target = F.col("target_trip_count")
-    running = df.withColumns(
-        {
-            "__sum": F.coalesce(F.sum(target).over(earlier), F.lit(0)),
-            "__known": F.count(target).over(earlier),
-        }
-    )
-    starts = {}
-    for n in windows:
-        starts[f"__sum_{n}"] = F.lag("__sum", n).over(history())
-        starts[f"__known_{n}"] = F.lag("__known", n).over(history())
+    """Mean of the n hours before, NULL unless all n are present and known.
+
+    Each is a difference of two running sums, taken where the window begins and ends in
+    time, so missing hours shift nothing and the cost does not grow with n.
+    """
+    running = {}
+    for hours in (0, *windows):
+        running[f"__sum_{hours}"] = F.coalesce(_over("sum(target_trip_count)", hours + 1), F.lit(0))
+        running[f"__known_{hours}"] = _over("count(target_trip_count)", hours + 1)
     means = {
         f"rolling_mean_{n}h": F.when(
-            F.col("__known") - F.col(f"__known_{n}") == n,
-            (F.col("__sum") - F.col(f"__sum_{n}")) / F.lit(n),
+            F.col("__known_0") - F.col(f"__known_{n}") == n,
+            (F.col("__sum_0") - F.col(f"__sum_{n}")) / F.lit(n),
         )
         for n in windows
     }
-    return running.withColumns(starts).withColumns(means).drop("__sum", "__known", *starts)
+    return df.withColumns(running).withColumns(means).drop(*running)
 
 
 def with_sliding_means(df: DataFrame, windows: tuple[int, ...] = ROLLING) -> DataFrame:
-    """The same means from sliding row frames; the general form for non-integers."""
-    target = F.col("target_trip_count")
-    columns = {}
-    for n in windows:
-        frame = history().rowsBetween(-n, -1)
-        columns[f"rolling_mean_{n}h"] = F.when(
-            F.count(target).over(frame) == n, F.avg(target).over(frame)
+    """The same means from sliding time frames; the general form for non-integers."""
+    columns = {
+        f"rolling_mean_{n}h": F.when(
+            _over("count(target_trip_count)", 1, n) == n, _over("avg(target_trip_count)", 1, n)
         )
+        for n in windows
+    }
     return df.withColumns(columns)
 
 
@@ -112,16 +114,19 @@ def training_rows(features: DataFrame, *splits: str) -> DataFrame:
 def feature_report(features: DataFrame) -> DataFrame:
     """Availability per split: rows, targets, complete and eligible rows, NULLs per feature."""
     known = F.col("target_trip_count").isNotNull()
-    return features.groupBy("split").agg(
-        F.count("*").alias("total_rows"),
-        F.count_distinct("zone_id").alias("zone_count"),
-        F.count_distinct("target_hour_utc").alias("hour_count"),
-        count_where(known).alias("target_rows"),
-        count_where(~known).alias("missing_target_rows"),
-        count_where(F.col("features_complete")).alias("complete_feature_rows"),
-        count_where(known & F.col("features_complete")).alias("training_eligible_rows"),
-        *[count_where(F.col(name).isNull()).alias(f"missing_{name}") for name in HISTORY_FEATURES],
-    )
+    complete = F.col("features_complete")
+    missing = {f"missing_{name}": count_where(F.col(name).isNull()) for name in HISTORY_FEATURES}
+    measures = {
+        "total_rows": F.count("*"),
+        "target_rows": count_where(known),
+        "missing_target_rows": count_where(~known),
+        "complete_feature_rows": count_where(complete),
+        "training_eligible_rows": count_where(known & complete),
+        **missing,
+    }
+    names = [*measures]
+    counted = with_key_counts(features, ("split",), measures, {})
+    return counted.select("split", names[0], "zone_count", "hour_count", *names[1:])
 
 
 def feature_violations(features: DataFrame) -> DataFrame:

@@ -6,27 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.errors import ContractError
-from hourgrid.functions.scoring import count_where, ratio, rounded
+from hourgrid.functions.scoring import count_where, ratio, rounded, with_key_counts
 
 
 def split_metrics(predictions: DataFrame) -> DataFrame:
     """Row counts, MAE, WAPE and fallback rate of each split."""
     actual, prediction = F.col("actual_trip_count"), F.col("prediction")
     scored = actual.isNotNull() & prediction.isNotNull()
-    totals = predictions.groupBy("split").agg(
-        F.count("*").alias("total_rows"),
-        F.count_distinct("zone_id").alias("zone_count"),
-        F.count_distinct("target_hour_utc").alias("hour_count"),
-        F.count(actual).alias("target_rows"),
-        count_where(actual.isNull()).alias("missing_target_rows"),
-        F.count(prediction).alias("prediction_rows"),
-        count_where(prediction.isNull()).alias("missing_prediction_rows"),
-        count_where(scored).alias("scored_rows"),
-        count_where(F.col("used_fallback")).alias("fallback_rows"),
-        F.avg("absolute_error").alias("mae"),
-        F.sum("absolute_error").alias("absolute_error_sum"),
-        F.sum(F.when(scored, actual)).alias("actual_sum"),
-    )
+    measures = {
+        "total_rows": F.count("*"),
+        "target_rows": F.count(actual),
+        "missing_target_rows": count_where(actual.isNull()),
+        "prediction_rows": F.count(prediction),
+        "missing_prediction_rows": count_where(prediction.isNull()),
+        "scored_rows": count_where(scored),
+        "fallback_rows": count_where(F.col("used_fallback")),
+        "error_rows": F.count("absolute_error"),
+        "absolute_error_sum": F.sum("absolute_error"),
+        "actual_sum": F.sum(F.when(scored, actual)),
+    }
+    totals = with_key_counts(predictions, ("split",), measures, {})
     return totals.select(
         "split",
         "total_rows",
@@ -39,7 +38,7 @@ def split_metrics(predictions: DataFrame) -> DataFrame:
         "scored_rows",
         "fallback_rows",
         rounded(ratio(F.col("fallback_rows"), F.col("prediction_rows"))).alias("fallback_rate"),
-        rounded(F.col("mae")).alias("mae"),
+        rounded(ratio(F.col("absolute_error_sum"), F.col("error_rows"))).alias("mae"),
         rounded(ratio(F.col("absolute_error_sum"), F.col("actual_sum"))).alias("wape"),
         "actual_sum",
         rounded(F.col("absolute_error_sum")).alias("absolute_error_sum"),

@@ -9,13 +9,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid.errors import ContractError, ParameterError
 from hourgrid.functions.calendar import instant
-from hourgrid.functions.scoring import count_where
+from hourgrid.functions.scoring import count_where, with_key_counts
 from hourgrid.operators.compare import ERROR_TOLERANCE, any_null, uncovered_zones
 from hourgrid.operators.grid import lookup_audit
 from hourgrid.operators.splits import utc_hour_bound
@@ -75,22 +75,28 @@ def served_validation(served: DataFrame) -> DataFrame:
         ),
         F.count("absolute_error").alias("scored_rows"),
     )
-    return keys.agg(
-        *[
-            F.coalesce(F.sum(source), F.lit(0)).alias(name)
-            for source, name in (
-                ("key_rows", "rows"),
-                ("null_rows", "null_rows"),
-                ("scored_rows", "scored_rows"),
-                ("negative_rows", "negative_rows"),
-                ("inconsistent_rows", "inconsistent_rows"),
-            )
-        ],
-        F.count("*").alias("unique_keys"),
-        F.count_distinct("zone_id").alias("zone_count"),
-        F.count_distinct("target_hour_utc").alias("hour_count"),
-        F.min("target_hour_utc").alias("first_hour"),
-        F.max("target_hour_utc").alias("last_hour"),
+    sources = {
+        "key_rows": "rows",
+        "null_rows": "null_rows",
+        "scored_rows": "scored_rows",
+        "negative_rows": "negative_rows",
+        "inconsistent_rows": "inconsistent_rows",
+    }
+    measures = {source: F.sum(source) for source in sources} | {
+        "unique_keys": F.count("*"),
+        "first_hour": F.min("target_hour_utc"),
+        "last_hour": F.max("target_hour_utc"),
+    }
+    folds = {"first_hour": F.min("first_hour"), "last_hour": F.max("last_hour")}
+    found = with_key_counts(keys, (), measures, folds)
+    zero = F.lit(0).cast("long")
+    return found.select(
+        *[F.coalesce(source, zero).alias(name) for source, name in sources.items()],
+        F.coalesce("unique_keys", zero).alias("unique_keys"),
+        "zone_count",
+        "hour_count",
+        "first_hour",
+        "last_hour",
     )
 
 
@@ -259,3 +265,27 @@ def predictions_to_serve(winner: str, model: DataFrame, baseline: DataFrame) ->
     if winner not in tables:
         raise ParameterError(f"unknown predictor {winner!r}")
     return served_predictions(tables[winner])
+
+
+def write_predictors(model: DataFrame, baseline: DataFrame, path: str) -> None:
+    """Write two prediction tables below one path, each a partition by predictor."""
+    for name, table in (("model", model), ("baseline", baseline)):
+        table.write.parquet(f"{path}/predictor={name}")
+
+
+def read_predictor(spark: SparkSession, path: str, predictor: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/predictor={predictor}")
+
+
+def served_by_decision(spark: SparkSession, path: str, verdict: DataFrame) -> DataFrame:
+    """Rows to serve of the predictor that the one-row verdict names, with its name.
+
+    The verdict is evaluated first and becomes a partition filter: the files of the
+    other predictor are not read.
+    """
+    fields = [*SERVED.fields, T.StructField("split", T.StringType())]
+    schema = T.StructType([*fields, T.StructField("predictor", T.StringType())])
+    winner = verdict.select("serving_winner").scalar()
+    rows = spark.read.schema(schema).parquet(path).where(F.col("predictor") == winner)
+    rows = rows.where((F.col("split") == "test") & F.col("prediction").isNotNull())
+    return rows.select(F.col("predictor").alias("serving_winner"), *SERVED.names)

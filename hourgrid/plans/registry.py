@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 from functools import wraps
@@ -34,7 +35,7 @@ from hourgrid.plans.workload import (
     Workload,
 )
 from hourgrid.schemas import KEY, MODEL_PREDICTIONS
-from hourgrid.session import configure
+from hourgrid.session import configure, ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -605,15 +606,15 @@ def history_all_zones(w):
 
 @query
 def served_by_decision(w):
-    """Rows of the predictor that the decision names, picked inside one plan."""
-    winner = compare.decision(compare.residual_metrics(_comparison(w))).select("serving_winner")
-    tagged = [
-        serve.predictions_to_serve(name, w.model, w.baseline).withColumn(
-            "serving_winner", F.lit(name)
-        )
-        for name in ("model", "baseline")
-    ]
-    return tagged[0].unionByName(tagged[1]).join(winner, "serving_winner", "left_semi")
+    """Rows of the predictor that the decision names; only its partition is scanned."""
+    folder = f"{ensure_checkpoint_dir(w.spark)}/predictors-{uuid.uuid4().hex}"
+    serve.write_predictors(w.model, w.baseline, folder)
+    model_side, baseline_side = (
+        serve.read_predictor(w.spark, folder, name) for name in ("model", "baseline")
+    )
+    comparison = compare.align_predictions(model_side, baseline_side)
+    verdict = compare.decision(compare.residual_metrics(comparison))
+    return serve.served_by_decision(w.spark, folder, verdict)
 
 
 # --- integrity ---------------------------------------------------------------

@@ -262,3 +262,19 @@ def test_manifest_names_the_first_difference(spark):
     )
     found = {r.dataset: r.reason for r in integrity.manifest_check(recorded, current).collect()}
     assert found == {"gone": "missing", "rows": "rows", "content": "content", "schema": "schema"}
+
+
+@pytest.mark.parametrize("winner", ["model", "baseline"])
+def test_only_the_deciding_predictor_is_scanned(spark, tmp_path, winner):
+    path = str(tmp_path / "predictors")
+    serve.write_predictors(model_frame(spark), baseline_frame(spark), path)
+    verdict = spark.createDataFrame([(winner,)], "serving_winner string")
+    loser = "baseline" if winner == "model" else "model"
+    want = serve.served_predictions(serve.read_predictor(spark, path, winner)).collect()
+    # Files of the other predictor are not even opened.
+    for file in (tmp_path / "predictors" / f"predictor={loser}").glob("*"):
+        file.write_bytes(b"not a table")
+    found = serve.served_by_decision(spark, path, verdict)
+    assert found.columns == ["serving_winner", *serve.SERVED.names]
+    assert sorted(map(tuple, found.drop("serving_winner").collect())) == sorted(map(tuple, want))
+    assert {r.serving_winner for r in found.collect()} == {winner}

@@ -195,3 +195,42 @@ def test_leakage_probe(spark):
 
     assert integrity.leakage_probe(frame, honest, hour).isEmpty()
     assert integrity.leakage_probe(frame, leaky, hour).count() == 4
+
+
+def test_lags_and_means_on_a_frame_with_missing_hours(spark):
+    holed = random_grid(spark, zones=3, hours=260).where(
+        F.pmod(F.xxhash64("zone_id", "target_hour_utc"), F.lit(9)) != 0
+    )
+    late = F.col("target_hour_utc") > F.lit("2026-01-05 00:00:00").cast("timestamp")
+    holed = holed.where(~((F.col("zone_id") == 2) & ~late))  # a zone that begins late
+    base = holed.select("zone_id", "target_hour_utc", F.col("trip_count").alias("target_trip_count"))
+    out = features.with_rolling_means(features.with_lags(base, (1, 24)), (3, 24)).collect()
+    hour = lambda r: int(r.target_hour_utc.timestamp()) // 3600
+    known = {(r.zone_id, hour(r)): r.target_trip_count for r in out}
+    found = 0
+    for r in out:
+        for n in (1, 24):
+            assert r[f"lag_{n}h"] == known.get((r.zone_id, hour(r) - n))
+        for n in (3, 24):
+            before = [known.get((r.zone_id, hour(r) - k)) for k in range(1, n + 1)]
+            mean = None if None in before else sum(before) / n
+            assert r[f"rolling_mean_{n}h"] == mean
+            found += mean is not None
+    assert found > 50
+
+
+def test_distinct_counts_expand_no_rows(spark):
+    from hourgrid.functions.scoring import with_key_counts
+    from hourgrid.plans.registry import REGISTRY
+
+    for name in ("split_metrics", "feature_report", "comparison_summary", "served_validation"):
+        plan = REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        assert "Expand" not in plan.executedPlan().toString(), name
+    rows = [("a", 1, 5, 2.0), ("a", 1, 6, None), ("a", 2, 5, 1.0), ("b", None, 7, 4.0), ("b", 3, None, 9.0)]
+    frame = spark.createDataFrame(rows, "split string, zone_id int, target_hour_utc int, x double")
+    found = with_key_counts(
+        frame, ("split",), {"rows": F.count("*"), "sum": F.sum("x"), "least": F.min("x")}, {"least": F.min("least")}
+    )
+    assert sorted(rows_of(found)) == [("a", 3, 3.0, 1.0, 2, 2), ("b", 2, 13.0, 4.0, 1, 1)]
+    nothing = with_key_counts(frame.limit(0), (), {"rows": F.count("*")}, {}).first()
+    assert (nothing.rows, nothing.zone_count, nothing.hour_count) == (None, 0, 0)
