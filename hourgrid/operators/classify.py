@@ -8,11 +8,13 @@ the lookup join runs on cells, whether Spark broadcasts the lookup or not.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourgrid.errors import ParameterError
 from hourgrid.functions.calendar import (
     LocalWindow,
     hour_of_number,
@@ -27,7 +29,7 @@ from hourgrid.functions.scoring import (
     special_dimension,
 )
 from hourgrid.schemas import DISPOSITIONS
-from hourgrid.session import require_utc
+from hourgrid.session import require_utc, shuffle_partitions
 
 SPECIAL = {
     "borough": SPECIAL_BOROUGHS,
@@ -35,6 +37,9 @@ SPECIAL = {
     "service_zone": SPECIAL_SERVICE_ZONES,
 }
 
+# Zones that a frequency sketch names at most.
+HOT_ITEMS = 256
+
 SpecialValues = dict[str, tuple[str, ...]]
 
 
@@ -82,6 +87,23 @@ def zone_disposition(zone_missing: Column) -> Column:
     )
 
 
+def hot_zones(events: DataFrame, zone_col: str = "zone_raw", tasks: int | None = None) -> list[int]:
+    """Zones with so many rows that one task of an exchange would get twice its share.
+
+    A frequency sketch of a fixed size finds them in one pass; tasks is the number of
+    partitions of the exchange. The list has at most HOT_ITEMS zones.
+    """
+    tasks = tasks or shuffle_partitions(events.sparkSession)
+    zone = F.col(zone_col)
+    found = events.where(zone.isNotNull()).agg(
+        F.call_function("approx_top_k", zone.cast("long"), F.lit(HOT_ITEMS)).alias("top"),
+        F.count("*").alias("rows"),
+    ).first()
+    if not found["rows"]:
+        return []
+    return sorted(r["item"] for r in found["top"] if r["count"] * 2 * tasks >= found["rows"])
+
+
 def label_dispositions(
     events: DataFrame,
     lookup: DataFrame,
@@ -90,24 +112,30 @@ def label_dispositions(
     zone_col: str = "zone_raw",
     month_col: str | None = None,
     special: SpecialValues = SPECIAL,
+    hot: Sequence[int] = (),
 ) -> DataFrame:
-    """Events with one extra column, disposition; unmatched rows are kept."""
+    """Events with one extra column, disposition; unmatched rows are kept.
+
+    Rows without a zone and those of hot zones (see hot_zones) stay where they are: only
+    the hot zones' lookup rows, at most HOT_ITEMS, are sent to them. The other rows meet
+    the lookup by an exchange in which no zone is large. hot changes the plan alone.
+    """
+    if len(hot) > HOT_ITEMS:
+        raise ParameterError(f"give at most {HOT_ITEMS} hot zones")
     ts = F.col(ts_col).cast("timestamp_ntz")
     month = None if month_col is None else F.col(month_col)
-    flags = lookup_flags(lookup, special).withColumnRenamed("zone_id", "__lookup_zone")
-    # Missing zones match nothing: their rows are spread over the exchange by time
-    # instead of meeting in one partition. Skewed zones are left to adaptive execution.
     zone, missing = F.col(zone_col), F.col(zone_col).isNull()
-    spread = F.struct(missing, F.when(missing, F.xxhash64(ts)).otherwise(zone.cast("long")))
-    flags = flags.withColumn(
-        "__key", F.struct(F.lit(False), F.col("__lookup_zone").cast("long"))
-    )
-    joined = events.withColumn("__spread", spread)
-    joined = joined.join(flags, F.col("__spread") == F.col("__key"), "left")
+    flags = lookup_flags(lookup, special).withColumnRenamed("zone_id", "__lookup_zone")
     label = F.coalesce(time_disposition(ts, window, month), zone_disposition(missing))
-    return joined.withColumn("disposition", label).drop(
-        "__lookup_zone", "is_special", "__spread", "__key"
-    )
+    stays = missing
+    if hot:
+        stays = missing | zone.isin(*hot)
+    few = F.broadcast(flags.where(F.col("__lookup_zone").isin(*hot)))
+    parts = [
+        rows.join(side, zone == F.col("__lookup_zone"), "left").withColumn("disposition", label)
+        for rows, side in ((events.where(stays), few), (events.where(~stays), flags))
+    ]
+    return parts[0].unionByName(parts[1]).drop("__lookup_zone", "is_special")
 
 
 def time_cells(

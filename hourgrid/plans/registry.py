@@ -136,17 +136,22 @@ def dst_calendar_hours(w):
     return found[0].unionByName(found[1])
 
 
+def _labelled(w):
+    hot = classify.hot_zones(w.events)
+    return classify.label_dispositions(w.events, w.lookup, w.window, special=SPECIAL, hot=hot)
+
+
 @query
 def label_rows_gap(w):
     w = shifted(w, GAP_DAYS)
-    rows = classify.label_dispositions(w.events, w.lookup, w.window, special=SPECIAL)
+    rows = _labelled(w)
     return rows.select("event_id", "pickup_ts", "zone_raw", "disposition")
 
 
 @query
 def label_rows_overlap(w):
     w = shifted(w, OVERLAP_DAYS)
-    rows = classify.label_dispositions(w.events, w.lookup, w.window, special=SPECIAL)
+    rows = _labelled(w)
     return rows.select("event_id", "pickup_ts", "zone_raw", "disposition")
 
 
@@ -201,7 +206,7 @@ def source_activity(w):
 @query
 def duplicate_keys(w):
     """Zone-hours hit by more than one row of the raw events."""
-    rows = classify.label_dispositions(w.events, w.lookup, w.window, special=SPECIAL)
+    rows = _labelled(w)
     hour = F.date_trunc("hour", F.to_utc_timestamp("pickup_ts", TZ))
     keyed = rows.where(F.col("disposition") == "retained").select(
         F.col("zone_raw").alias("zone_id"), hour.alias("target_hour_utc")
@@ -299,7 +304,7 @@ def bag_diff(w):
 @query
 def bag_diff_rows(w):
     """Row-level recount against the cell-level counts: nothing may differ."""
-    rows = classify.label_dispositions(w.events, w.lookup, w.window, special=SPECIAL)
+    rows = _labelled(w)
     hour = F.date_trunc("hour", F.to_utc_timestamp("pickup_ts", TZ))
     recounted = (
         rows.where(F.col("disposition") == "retained")

@@ -2,9 +2,10 @@ import pytest
 from frames import TZ, events, local, lookup, rows_of, two_zone_lookup, utc
 from pyspark.sql import functions as F
 
-from hourgrid.errors import ContractError
+from hourgrid.errors import ContractError, ParameterError
 from hourgrid.functions.calendar import LocalWindow
 from hourgrid.operators import classify, counts, profile
+from hourgrid.operators.grid import bag_diff_rows
 
 MARCH = LocalWindow.month("2026-03", TZ)
 JANUARY = LocalWindow.month("2026-01", TZ)
@@ -208,3 +209,54 @@ def test_two_zone_lookup_serves_two_zones(spark):
     flags = dict(rows_of(classify.lookup_flags(two_zone_lookup(spark))))
     assert flags == {1: False, 2: False, 264: True, 265: True}
     assert utc("2026-03-08T06:00").hour == 6
+
+
+def skewed(spark, rows=30_000):
+    """A third of the rows has no zone, a third zone 1, the others are spread over 400 zones."""
+    zone = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, 1).otherwise(
+        2 + F.pmod(F.xxhash64("id"), F.lit(400))
+    )
+    return spark.range(0, rows, 1, 8).select(
+        F.lit("2026-03-05 10:00:00").cast("timestamp_ntz").alias("pickup_ts"),
+        zone.cast("int").alias("zone_raw"),
+    )
+
+
+def test_hot_zones_are_found_by_a_sketch(spark):
+    assert classify.hot_zones(skewed(spark), tasks=8) == [1]
+    assert classify.hot_zones(skewed(spark).where("zone_raw > 1"), tasks=8) == []
+    assert classify.hot_zones(skewed(spark).limit(0)) == []
+
+
+def test_no_task_of_the_exchange_is_hot(spark):
+    raw = skewed(spark)
+    zones = spark.range(1, 300).select(
+        F.col("id").cast("int").alias("zone_id"),
+        F.lit("Queens").alias("borough"),
+        F.lit("A").alias("zone_name"),
+        F.when(F.col("id") == 5, "N/A").otherwise("Boro").alias("service_zone"),
+    )
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        hot = classify.hot_zones(raw)
+        split = classify.label_dispositions(raw, zones, MARCH, hot=hot)
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        # The hot side has a broadcast join above the scan, the other one an exchange.
+        union = plan.split("SortMergeJoin")
+        assert len(union) == 2 and "BroadcastHashJoin" in union[0] and "hashpartitioning" not in union[0]
+        task = F.spark_partition_id().alias("task")
+        sizes = split.where("zone_raw > 1").groupBy(task).count()
+        sizes = sorted(r["count"] for r in sizes.collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        whole = classify.label_dispositions(raw, zones, MARCH)
+        assert bag_diff_rows(split, whole).first()[0] == 0
+        counted = dict(rows_of(split.groupBy("disposition").count()))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert counted["null_zone"] == 10_000 and sum(counted.values()) == raw.count()
+    assert counted["non_service_zone"] > 0 and counted["not_in_lookup"] > 0
+    with pytest.raises(ParameterError):
+        classify.label_dispositions(raw, zones, MARCH, hot=range(classify.HOT_ITEMS + 1))
