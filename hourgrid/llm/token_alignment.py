@@ -17,12 +17,13 @@ from __future__ import annotations
 
 import json
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +41,8 @@ PAIRS_HELD = 1 << 19
 # Segments whose ids a worker remembers, and their longest length in bytes.
 MEMO_SEGMENTS = 200_000
 MEMO_BYTES = 64
+# Longer segments are encoded by themselves.
+TOGETHER_BYTES = 1 << 12
 # Pairs with counts that are broadcast, at 17 bytes each.
 CACHED_PAIRS = 1 << 20
 
@@ -78,6 +81,41 @@ def byte_level_tokens(file: bytes) -> list[bytes]:
     ]
 
 
+# Fixed value: how a byte-level vocabulary cuts text before its merges.
+BYTE_LEVEL_PATTERN = (
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+)
+
+
+def rank_encoder(file: bytes) -> Callable[[str], list[int]] | None:
+    """A faster encoder of the same vocabulary; None unless its ids follow its merges.
+
+    Where each merge makes the next id, and text is cut by the usual pattern alone,
+    merging by rank of the joined bytes is merging in the order of the file.
+    """
+    spec = json.loads(file)
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    special = {t["id"] for t in spec.get("added_tokens", [])}
+    tokens = byte_level_tokens(file)
+    ordered = all(model["vocab"].get(a + b) == 256 + k for k, (a, b) in enumerate(pairs))
+    plain = (
+        model.get("type") == "BPE"
+        and cut.get("type") == "ByteLevel"
+        and cut.get("use_regex", True)
+        and not cut.get("add_prefix_space")
+        and not any(model.get(k) for k in ("dropout", "ignore_merges", "continuing_subword_prefix",
+                                           "end_of_word_suffix"))
+        and spec.get("normalizer") is None
+    )
+    if not (ordered and plain and len(tokens) - len(special) == 256 + len(pairs)):
+        return None
+    ranks = {token: i for i, token in enumerate(tokens) if i not in special}
+    return tiktoken.Encoding(
+        "byte-level", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}
+    ).encode_ordinary
+
+
 def piece_tokens(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     """Bytes of each id of a SentencePiece model."""
     return [
@@ -122,6 +160,7 @@ class Pair:
     def __init__(self, byte_file: bytes, piece_file: bytes):
         self.tokenizer = Tokenizer.from_buffer(byte_file)
         self.tokenizer.encode_special_tokens = True
+        self.encode_a = rank_encoder(byte_file) or self._byte_level
         self.model = sentencepiece.SentencePieceProcessor(model_proto=piece_file)
         self.a = TokenTable.of(byte_level_tokens(byte_file), "|")
         pieces = piece_tokens(self.model)
@@ -133,6 +172,9 @@ class Pair:
         self.memo: dict[bytes, tuple[bytes, bytes]] = {}
         self.older: dict[bytes, tuple[bytes, bytes]] = {}
 
+    def _byte_level(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def encode(self, segments: list[bytes]) -> list[tuple[bytes, bytes]]:
         """Ids, as bytes of int32, of different segments that each begin with a blank."""
         memo, older = self.memo, self.older
@@ -153,7 +195,7 @@ class Pair:
 
     def _encode_one(self, segment: bytes) -> tuple[bytes, bytes]:
         text = segment.decode("utf-8", "replace")
-        left = self.tokenizer.encode(text, add_special_tokens=False).ids
+        left = self._byte_level(text)
         right = self.model.encode(text[1:]) if len(text) > 1 else [self.blank]
         return array("i", left).tobytes(), array("i", right).tobytes()
 
@@ -165,7 +207,7 @@ class Pair:
         ends = np.cumsum([len(s) for s in segments])
         sides = []
         for table, ids in (
-            (self.a, self.tokenizer.encode(text, add_special_tokens=False).ids),
+            (self.a, self.encode_a(text)),
             (self.b, self.model.encode(text[1:])),
         ):
             ids = np.array(ids, np.int32)
@@ -179,9 +221,9 @@ class Pair:
 
 
 def _closed(segment: bytes) -> bool:
-    """Whether nothing after a segment, which begins with a blank, can change its tokens."""
+    """Whether a segment, which begins with a blank, is short and no text after it changes its tokens."""
     last = segment[-1]
-    if last <= 32 or last == 127:
+    if last <= 32 or last == 127 or len(segment) > TOGETHER_BYTES:
         return False
     if segment.isascii():
         return True
