@@ -1,5 +1,6 @@
 """Alignment against the two libraries on whole texts and plain dictionaries."""
 
+import json
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -38,6 +39,17 @@ def tables():
     return Pair(open(BYTE_BPE_FILE, "rb").read(), open(PIECE_FILE, "rb").read())
 
 
+def test_both_byte_level_encoders_give_the_same_ids():
+    ranked = token_alignment.rank_encoder(open(BYTE_BPE_FILE, "rb").read())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3400 or c % 11 == 0)]
+    for low in range(0, len(points), 512):
+        text = "".join(f"a{chr(c)}a 1{chr(c)}1 !{chr(c)}!  {chr(c)} x" for c in points[low : low + 512])
+        assert ranked(text) == A.encode(text, add_special_tokens=False).ids
+    spec = json.loads(open(BYTE_BPE_FILE).read())
+    spec["model"]["merges"][:2] = spec["model"]["merges"][1::-1]
+    assert token_alignment.rank_encoder(json.dumps(spec).encode()) is None
+
+
 def expected(text):
     nothing = (0, 0, 0, 0, "", [], [])
     if not text:
