@@ -47,6 +47,14 @@ def small_side(df: DataFrame, row_bytes: int | Column) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
+def free_prefix(columns: list[str]) -> str:
+    """The shortest run of underscores with which none of the columns begins."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -99,3 +99,28 @@ def test_extra_columns_and_ties(docs_of, spark):
     names, score = score_texts(pa.array(["word"]), model)
     assert names == ["a"] and score[0] == 0.5
     assert PIECE_BYTES > 0
+
+
+def test_groups_of_languages_give_what_one_matrix_gives(docs_of):
+    """Seven languages by one, two and all; some without text, one named like the unknown."""
+    rng = random.Random(5)
+    rows = [
+        (i, " ".join(rng.choices(WORDS[sorted(WORDS)[i % 3]], k=rng.randint(1, 12))), f"l{i % 5}", "s")
+        for i in range(150)
+    ] + [(900, "ab ba", "und", "s"), (901, None, "zz", "s"), (902, "12", "en", "s"), (903, None, None, "s")]
+    docs = docs_of(rows).withColumnRenamed("source", "_top").withColumnRenamed("n_chars", "_lang")
+    whole = sorted(identify(docs, train(docs)).collect(), key=lambda r: r.doc_id)
+    assert {r._lang for r in whole} >= {"l0", "und"} and all(r._top == "s" for r in whole)
+    assert next(r for r in whole if r.doc_id == 900)._score > 0
+    for group in (1, 2, 4, 8):
+        models = language_id.train_groups(docs, group=group)
+        got = sorted(identify(docs, models).collect(), key=lambda r: r.doc_id)
+        assert [r._lang for r in got] == [r._lang for r in whole]
+        assert all(abs(a._score - b._score) < 1e-4 for a, b in zip(got, whole))
+
+
+def test_more_languages_than_a_group(docs_of):
+    rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)} " * 20, f"tag{i:03d}", "s") for i in range(300)]
+    docs = docs_of(rows)
+    got = identify(docs, language_id.train_groups(docs), keep=["doc_id", "lang"]).collect()
+    assert len(got) == 300 and sum(r._lang == r.lang for r in got) >= 290
