@@ -8,7 +8,11 @@ even the best rest cannot lift over the threshold. The threshold gives a stated
 mean list length on random vectors; a vector that lies badly to the code, and has a
 shorter list, takes its own lower threshold, which gives that length. Vectors meet in the cells of their label and
 directions, and all pairs of a cell are verified by their cosine in double
-precision. At cosine 0.93 two lists share about two dozen directions.
+precision. At cosine 0.93 two lists share about sixteen directions.
+
+The code grows with the largest label: the number of directions is in proportion to its
+vectors, so that a cell keeps about CELL_MEAN vectors that have nothing in common, and
+lists grow with its logarithm, so that the share of pairs found stays the same.
 
 Equal vectors of a label are one vector with a weight. A cell with many vectors is
 cut into blocks, and pairs of blocks are verified in separate tasks. A task returns
@@ -18,6 +22,7 @@ the first cell that both vectors are in.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +35,11 @@ from hourgrid.llm.components import components
 
 COSINE = 0.93
 BLOCKS = 2
-CODES = 1024
+CODES = 1024  # of a block, at least
 LIST_LENGTH = 32
+LONGER = 8  # directions more in a list each time the codes of a block double
+CELL_MEAN = 32
+DECODE_SCORES = 1 << 19  # scores of a block that are held at once
 CELL_ROWS = 1024
 SEED = 20260
 PROBES = 256
@@ -39,6 +47,18 @@ SPLIT_FROM = 16  # dimensions; fewer have one block
 WIDEST = 0.95  # caps must be wide enough for two vectors at COSINE to share some
 
 
+def code_size(vectors: int) -> tuple[int, int]:
+    """Codes of a block and list length for the number of vectors of the largest label.
+
+    The codes are the first power of two for which vectors * length / codes ** BLOCKS,
+    the mean number of unrelated vectors in a cell, is CELL_MEAN or less.
+    """
+    codes, length = CODES, LIST_LENGTH
+    while vectors * length > CELL_MEAN * codes**BLOCKS:
+        codes, length = 2 * codes, length + LONGER
+    return codes, length
+
+
 class ProductCode:
     """Rotation, codebooks and threshold for vectors of one dimension."""
 
@@ -100,13 +120,14 @@ class ProductCode:
         return rows, codes
 
 
-_CODES: dict[int, ProductCode] = {}
+_CODES: dict[tuple[int, int, int], ProductCode] = {}
 
 
-def _code(dim: int) -> ProductCode:
-    if dim not in _CODES:
-        _CODES[dim] = ProductCode(dim)
-    return _CODES[dim]
+def _code(dim: int, codes: int, length: int) -> ProductCode:
+    key = (dim, codes, length)
+    if key not in _CODES:
+        _CODES[key] = ProductCode(dim, codes=codes, length=length)
+    return _CODES[key]
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -115,29 +136,34 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
     return np.split(values, np.cumsum(sizes)[:-1])
 
 
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add to each vector its sorted list of directions."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        vectors = _lists(batch.column("vector"))
-        found: list = [None] * len(vectors)
-        dims = np.array([len(v) for v in vectors])
-        for dim in np.unique(dims):
-            where = np.flatnonzero(dims == dim)
-            for part in np.array_split(where, max(1, len(where) // 512)):
-                stacked = np.stack([vectors[k] for k in part])
-                scale = np.abs(stacked).max(axis=1, keepdims=True)
-                stacked = stacked / scale
-                stacked /= np.linalg.norm(stacked, axis=1, keepdims=True)
-                rows, codes = _code(int(dim)).decode(stacked)
-                order = np.lexsort((codes, rows))
-                ends = np.searchsorted(rows[order], np.arange(1, len(part)))
-                for k, codes_of in zip(part, np.split(codes[order], ends)):
-                    found[k] = codes_of
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "filters"]
-        )
+def _decode(codes: int, length: int):
+    rows_at_once = max(1, DECODE_SCORES // codes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Add to each vector its sorted list of directions."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = _lists(batch.column("vector"))
+            found: list = [None] * len(vectors)
+            dims = np.array([len(v) for v in vectors])
+            for dim in np.unique(dims):
+                where = np.flatnonzero(dims == dim)
+                for part in np.array_split(where, math.ceil(len(where) / rows_at_once)):
+                    stacked = np.stack([vectors[k] for k in part])
+                    scale = np.abs(stacked).max(axis=1, keepdims=True)
+                    stacked = stacked / scale
+                    stacked /= np.linalg.norm(stacked, axis=1, keepdims=True)
+                    rows, at = _code(int(dim), codes, length).decode(stacked)
+                    order = np.lexsort((at, rows))
+                    ends = np.searchsorted(rows[order], np.arange(1, len(part)))
+                    for k, codes_of in zip(part, np.split(at[order], ends)):
+                        found[k] = codes_of
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "filters"]
+            )
+
+    return run
 
 
 CELL = ["label", "dim", "filter", "block", "other"]
@@ -220,9 +246,13 @@ def near_vectors(
     label_col: str = "label",
     cosine: float = COSINE,
     cell_rows: int = CELL_ROWS,
+    expected: int = 0,
 ) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
+    The code is made for the vectors of the largest label, or for `expected` of them if
+    that is more.
+
     Only rows with equal labels are compared. Null labels, null, empty or zero vectors
     and vectors with a null or non-finite component link with nothing: their
     component is their own id. Vectors of different lengths never link. Rows that
@@ -250,7 +280,11 @@ def near_vectors(
         F.min("vec_id").alias("least_id"), F.count("*").alias("weight")
     )
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "vectors")
-    lists = classes.select("node", "vector").mapInArrow(_decode, "node long, filters array<long>")
+    largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    codes, length = code_size(max(largest, expected))
+    lists = classes.select("node", "vector").mapInArrow(
+        _decode(codes, length), "node long, filters array<long>"
+    )
     lists = stored(lists, "vector-filters")
     narrow = classes.select("node", "weight", "label", F.size("vector").alias("dim")).join(lists, "node")
     cells = narrow.select("node", "label", "dim", F.explode("filters").alias("filter"))

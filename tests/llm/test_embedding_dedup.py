@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from hourgrid.llm.embedding_dedup import near_vectors
+from hourgrid.llm.embedding_dedup import BLOCKS, CELL_MEAN, ProductCode, code_size, near_vectors
 
 SCHEMA = T.StructType(
     [
@@ -88,3 +88,39 @@ def test_repeated_null_ids_and_empty_table(spark):
     got = sorted(((r.vec_id, r.n_links, r.component_id) for r in near_vectors(frame).collect()), key=repr)
     assert got == [(5, 2, 5), (5, 2, 5), (None, 0, None), (None, 2, 5)]
     assert near_vectors(frame.limit(0)).collect() == []
+
+
+def test_code_grows_with_the_vectors():
+    assert code_size(0) == code_size(2**20) == (1024, 32)
+    for n in (2**21, 10**7, 10**9, 10**11):
+        codes, length = code_size(n)
+        assert n * length <= CELL_MEAN * codes**BLOCKS
+        assert length < 12 * np.log2(n)
+
+
+@pytest.mark.parametrize("vectors", [0, 10**7, 10**8])
+def test_recall_of_codes_for_many_vectors(vectors):
+    """Pairs at exactly the cosine, which are the hardest: at least 0.97 share a direction."""
+    rng, dim, n = np.random.default_rng(9), 64, 200
+    codes, length = code_size(vectors)
+    code = ProductCode(dim, codes=codes, length=length)
+    a = rng.standard_normal((n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((n, dim))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b = 0.93 * a + np.sqrt(1 - 0.93**2) * b
+    met = 0
+    for k in range(0, n, 25):
+        (rows_a, in_a), (rows_b, in_b) = code.decode(a[k : k + 25]), code.decode(b[k : k + 25])
+        met += sum(bool(set(in_a[rows_a == r]) & set(in_b[rows_b == r])) for r in range(25))
+    assert met >= 0.97 * n
+
+
+def test_clouds_with_the_code_of_many_vectors(spark):
+    rows = clouds(7, 64, centres=6)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got, want = found(near_vectors(frame, expected=10**7)), expected(rows)
+    links = {i: n for i, n, *_ in want}
+    assert all(n <= links[i] for i, n, *_ in got)
+    assert sum(n for _, n, *_ in got) >= 0.99 * sum(links.values())
