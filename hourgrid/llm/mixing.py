@@ -20,9 +20,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import small_side, stored
+from hourgrid.llm.common import free_prefix, small_side, stored
 
 TREE = ["domain", "lang", "source"]
+ADDED = ["epoch", "budget", "tokens_taken"]
 
 
 @dataclass(frozen=True)
@@ -142,57 +143,60 @@ def mix_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id") -> DataFram
     along. Added: epoch, budget (of the leaf) and tokens_taken. A document is in the
     prefix of an epoch if the documents before it leave budget; the last one counts
     with the tokens that were left, but stays whole. Null tree names form leaves of
-    their own. Documents without tokens can be in no prefix, but are in whole
-    epochs. Rows that share id and tokens may change places. No rows give no rows.
+    their own. Documents without tokens are in whole epochs, and in a prefix if budget is
+    left where they stand. Rows that share id and tokens may change places. No rows give
+    no rows. Of the input's columns, those named like an added one are replaced.
     """
+    docs = docs.drop(*ADDED)
+    p = free_prefix(docs.columns)
     leaves = stored(docs.groupBy(*TREE).agg(F.sum("tokens").alias("tokens")), "mix-leaves")
     budgets = leaf_budgets(leaves, mix).where(F.col("budget") > 0)
     plan = budgets.select(
-        *(F.col(c).alias(f"_{c}") for c in TREE),
+        *(F.col(c).alias(f"{p}{c}") for c in TREE),
         "budget",
-        F.floor(F.col("budget") / F.col("tokens")).cast("int").alias("_whole"),
-        F.pmod("budget", "tokens").alias("_rest"),
+        F.floor(F.col("budget") / F.col("tokens")).cast("int").alias(f"{p}whole"),
+        F.pmod("budget", "tokens").alias(f"{p}rest"),
     )
     plan = small_side(stored(plan, "mix-plan"), 200)
-    on = [docs[c].eqNullSafe(plan[f"_{c}"]) for c in TREE]
+    on = [docs[c].eqNullSafe(plan[f"{p}{c}"]) for c in TREE]
     rows = docs.join(plan, on[0] & on[1] & on[2])
 
-    last = rows.where(F.col("_rest") > 0).withColumn(
-        "_place", seeded_order(mix, F.col("_whole"), F.col(id_col))
+    last = rows.where(F.col(f"{p}rest") > 0).withColumn(
+        f"{p}place", seeded_order(mix, F.col(f"{p}whole"), F.col(id_col))
     )
-    last = last.withColumn("_range", F.substring("_place", 1, 3))
-    ranges = last.groupBy(*(f"_{c}" for c in TREE), "_range", "_rest").agg(
-        F.sum("tokens").alias("_n")
+    last = last.withColumn(f"{p}range", F.substring(f"{p}place", 1, 3))
+    ranges = last.groupBy(*(f"{p}{c}" for c in TREE), f"{p}range", f"{p}rest").agg(
+        F.sum("tokens").alias(f"{p}n")
     )
-    by_leaf = Window.partitionBy(*(f"_{c}" for c in TREE)).orderBy("_range")
+    by_leaf = Window.partitionBy(*(f"{p}{c}" for c in TREE)).orderBy(f"{p}range")
     ranges = ranges.withColumn(
-        "_below", F.sum("_n").over(by_leaf.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
-    ).where(F.col("_below") < F.col("_rest"))
+        f"{p}below", F.sum(f"{p}n").over(by_leaf.rowsBetween(Window.unboundedPreceding, 0)) - F.col(f"{p}n")
+    ).where(F.col(f"{p}below") < F.col(f"{p}rest"))
     ranges = ranges.select(
-        *(F.col(f"_{c}").alias(f"_r{c}") for c in TREE),
-        F.col("_range").alias("_rrange"),
-        "_below",
-        (F.col("_below") + F.col("_n") > F.col("_rest")).alias("_cut"),
+        *(F.col(f"{p}{c}").alias(f"{p}r{c}") for c in TREE),
+        F.col(f"{p}range").alias(f"{p}rrange"),
+        f"{p}below",
+        (F.col(f"{p}below") + F.col(f"{p}n") > F.col(f"{p}rest")).alias(f"{p}cut"),
     )
     ranges = small_side(stored(ranges, "mix-ranges"), 200)
-    on = [last[f"_{c}"].eqNullSafe(ranges[f"_r{c}"]) for c in TREE]
-    last = last.join(ranges, on[0] & on[1] & on[2] & (last["_range"] == ranges["_rrange"]))
-    in_range = Window.partitionBy(*(f"_{c}" for c in TREE), "_range").orderBy(
-        "_place", id_col, "tokens"
+    on = [last[f"{p}{c}"].eqNullSafe(ranges[f"{p}r{c}"]) for c in TREE]
+    last = last.join(ranges, on[0] & on[1] & on[2] & (last[f"{p}range"] == ranges[f"{p}rrange"]))
+    in_range = Window.partitionBy(*(f"{p}{c}" for c in TREE), f"{p}range").orderBy(
+        f"{p}place", id_col, "tokens"
     )
     so_far = F.sum("tokens").over(in_range.rowsBetween(Window.unboundedPreceding, 0))
     cut = (
-        last.where("_cut")
-        .withColumn("_left", F.col("_rest") - F.col("_below") - (so_far - F.col("tokens")))
-        .where(F.col("_left") > 0)
-        .withColumn("tokens_taken", F.least("tokens", "_left"))
+        last.where(f"{p}cut")
+        .withColumn(f"{p}left", F.col(f"{p}rest") - F.col(f"{p}below") - (so_far - F.col("tokens")))
+        .where(F.col(f"{p}left") > 0)
+        .withColumn("tokens_taken", F.least("tokens", f"{p}left"))
     )
-    uncut = last.where(~F.col("_cut")).withColumn("tokens_taken", F.col("tokens"))
+    uncut = last.where(~F.col(f"{p}cut")).withColumn("tokens_taken", F.col("tokens"))
     whole = (
-        rows.where(F.col("_whole") > 0)
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_whole") - 1)))
+        rows.where(F.col(f"{p}whole") > 0)
+        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col(f"{p}whole") - 1)))
         .withColumn("tokens_taken", F.col("tokens"))
     )
-    names = [*docs.columns, "epoch", "budget", "tokens_taken"]
-    prefix = [part.withColumn("epoch", F.col("_whole")).select(*names) for part in (uncut, cut)]
+    names = [*docs.columns, *ADDED]
+    prefix = [part.withColumn("epoch", F.col(f"{p}whole")).select(*names) for part in (uncut, cut)]
     return whole.select(*names).unionByName(prefix[0]).unionByName(prefix[1])

@@ -97,3 +97,23 @@ def test_epochs_and_prefixes(spark):
 def test_empty_table(spark):
     _, docs = documents(spark)
     assert mix_documents(docs.limit(0), Mix()).collect() == []
+
+
+def test_clashing_names_and_repeated_rows(spark):
+    rows, docs = documents(spark)
+    mix = Mix(6000, max_epochs=3, seed=5, weights={("a",): 2})
+    want = mix_documents(docs, mix).drop("budget_x").collect()
+    names = ["epoch", "budget", "tokens_taken", "_whole", "_rest", "_range", "_domain", "__cut", "_rdomain"]
+    clash = docs.drop("budget_x").selectExpr("*", *(f"'mine' AS {name}" for name in names))
+    out = mix_documents(clash, mix)
+    assert all(r["_whole"] == r["__cut"] == r["_domain"] == "mine" for r in out.collect())
+    assert sorted(out.select(want[0].__fields__).collect(), key=repr) == sorted(want, key=repr)
+    # Each row three times: three times the budget takes each row as often, but in the cut.
+    thrice = docs.union(docs).union(docs)
+    more = mix_documents(thrice, Mix(18000, max_epochs=3, seed=5, weights={("a",): 2})).collect()
+    budgets = {(r.domain, r.lang, r.source): r.budget for r in more}
+    taken = defaultdict(int)
+    for r in more:
+        taken[r.domain, r.lang, r.source] += r.tokens_taken
+        assert 0 < r.tokens_taken <= r.tokens or r.tokens == 0
+    assert taken == budgets
