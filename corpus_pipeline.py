@@ -7,6 +7,9 @@ out documents to meet the target weights; SentencePiece gives the ids.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +21,34 @@ from hourgrid.llm.mixing import mix_documents
 from hourgrid.llm.registry import MIX, with_tree
 from hourgrid.llm.sentencepiece_codec import encode_documents
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def carrying(stage: Stage) -> Stage:
+    """Send columns beside COLUMNS through a stage as one, so that no name of theirs clashes."""
+
+    @wraps(stage)
+    def carried(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c not in COLUMNS]
+        if not others:
+            return stage(spark, docs, sf_dir)
+        own = [c for c in docs.columns if c in COLUMNS]
+        packed = docs.select(*own, F.struct(*others).alias("carried"))
+        rows = stage(spark, packed, sf_dir)
+        return rows.select(*(F.col("carried").getField(c).alias(c) if c in others else c for c in docs.columns))
+
+    return carried
+
 
+@carrying
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; `lang` is the one predicted."""
     rows = learn_and_identify(docs).where(F.col("_lang") != UNKNOWN)
     return rows.withColumn("lang", F.col("_lang")).select(*docs.columns)
 
 
+@carrying
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without their repeated lines; `n_chars` counts what is left."""
     rows = drop_repeated_lines(docs).withColumn("text", F.col("_kept_text"))
@@ -34,6 +58,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.select(*docs.columns)
 
 
+@carrying
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each linked group: one with the smallest id, without an id if all are.
 
@@ -49,6 +74,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return keyed.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
+@carrying
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the mix, one row for each epoch they are in."""
     return mix_documents(with_tree(docs), MIX).select(*docs.columns)
