@@ -59,6 +59,43 @@ def test_near_duplicates_go_by_row(spark, docs_of):
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(want, key=repr)
 
 
+CLASHING = ["_lang", "_row", "_kept_text", "tokens", "domain", "epoch", "budget", "component_id", "node", "document"]
+
+
+def stages_over(spark, docs, folder):
+    """Each stage's rows, over the written rows of the one before."""
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF_DIR).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        out.append(docs)
+    return out
+
+
+def test_stages_on_nulls_repeats_and_clashing_names(spark, docs_of, tmp_path):
+    text = "the house and the garden of the old man with a dog\n" * 2
+    rows = [
+        (1, text, "en", "src0"), (1, text, "en", "src0"), (2, None, "en", "src1"), (3, "", None, None),
+        (None, text + "more of it", None, "src2"), (4, "12 34", "en", "src0"), (5, "der Garten und das Haus", "de", None),
+        (6, "der Hund " * 40_000, "de", "src5"), (None, None, None, None),
+    ]
+    docs = docs_of(rows).selectExpr("*", *(f"'mine' AS `{name}`" for name in CLASHING))
+    out = stages_over(spark, docs, tmp_path)
+    for stage in out[:-1]:
+        assert stage.columns == docs.columns
+        assert all(r[name] == "mine" for r in stage.select(*CLASHING).collect() for name in CLASHING)
+    assert sorted((r.doc_id for r in out[0].collect()), key=repr) == sorted([1, 1, None, 5, 6], key=repr)
+    assert out[0].where("lang IS NULL").isEmpty()
+    assert out[1].count() == 5 and 2 <= out[2].count() <= 4
+    assert {r.doc_id for r in out[2].collect()} >= {5, 6}
+    assert all(r.exact for r in out[4].collect())
+
+
+def test_stages_on_an_empty_table(spark, docs_of, tmp_path):
+    out = stages_over(spark, docs_of([]), tmp_path)
+    assert [stage.count() for stage in out] == [0] * 5
+
+
 def test_run_equals_its_stages(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
     assert out.columns == ["doc_id", "lang", "source", "ids", "n_ids", "exact"]
