@@ -403,13 +403,14 @@ def _postings(
     )
     dealt = spread.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "gram", "salt")
     lists = Window.partitionBy("gram", "salt").orderBy("node")
-    before, after = F.lag("node").over(lists), F.lead("node").over(lists)
-    marked = dealt.withColumns({"before": before, "after": after})
+    whole = lists.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # A node may come again, from equal texts in other tasks, so the next row may be its own.
+    marked = dealt.withColumns(
+        {"before": F.lag("node").over(lists), "last": F.last("node").over(whole)}
+    )
     again = F.coalesce(F.col("before") == F.col("node"), F.lit(False))
     others = (
-        F.col("before").isNotNull()
-        | F.coalesce(F.col("after") != F.col("node"), F.lit(False))
-        | (F.col("salt") >= 0)
+        F.col("before").isNotNull() | (F.col("last") != F.col("node")) | (F.col("salt") >= 0)
     )
     return marked.where(~again & others).select("gram", "node", "n", "place")
 

@@ -78,6 +78,19 @@ def test_lists_dealt_as_hot_find_the_same(docs_of, monkeypatch):
     assert found(near_documents(docs_of(rows))) == expected(rows)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_exact_copies_in_several_tasks_keep_their_links(docs_of, seed):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(12):
+        base = [f"w{k}x{j}" for j in range(40)]
+        near = [*base[:-1], rng.choice(["end", "stop", "last"])]
+        rows += [(100 * j + k, " ".join(base)) for j in range(4)] + [(900 + k, " ".join(near))]
+    rng.shuffle(rows)
+    docs = docs_of(rows).repartition(8, "doc_id")
+    assert found(near_documents(docs)) == expected(rows)
+
+
 def test_edges(docs_of, monkeypatch):
     long_text = " ".join(f"v{k % 977}x{k}" for k in range(4000))
     rows = [
