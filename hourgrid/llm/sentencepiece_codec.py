@@ -473,6 +473,10 @@ class _Memo(dict):
             self.clear()
         self[segment] = found
 
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
 
 _CODECS: dict[int, Codec] = {}
 
@@ -509,19 +513,22 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(sent)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                texts = [text or "" for text in part.column(text_col).to_pylist()]
-                ids = codec.encode_all(texts)
-                exact = [codec.decode(found) == text for found, text in zip(ids, texts)]
-                ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(ends), values)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in keep), lists, pa.array(exact)],
-                    names=[*keep, "_ids", "_exact"],
-                )
+        try:
+            for batch in batches:
+                for low in range(0, batch.num_rows, 256):
+                    part = batch.slice(low, 256)
+                    texts = [text or "" for text in part.column(text_col).to_pylist()]
+                    ids = codec.encode_all(texts)
+                    exact = [codec.decode(found) == text for found, text in zip(ids, texts)]
+                    ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+                    values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
+                    lists = pa.ListArray.from_arrays(pa.array(ends), values)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(c) for c in keep), lists, pa.array(exact)],
+                        names=[*keep, "_ids", "_exact"],
+                    )
+        finally:  # the worker lives on, and its memory counts while other stages run
+            codec.memo.forget()
 
     return docs.select(*inputs).mapInArrow(run, schema)
 

@@ -108,3 +108,21 @@ def test_frames(docs_of, library):
     assert all(r._text == (r.text or "") for r in back)
     assert encode_documents(docs.limit(0)).collect() == []
     assert BPE == 2
+
+
+def test_workers_hold_no_segments_after_a_task(spark, docs_of):
+    docs = docs_of([(k, f"words of text {k} " * 20) for k in range(64)])
+    assert encode_documents(docs, keep=["doc_id"]).where("size(_ids) > 0").count() == 64
+
+    def held(batches):
+        import pyarrow as pa
+
+        from hourgrid.llm.sentencepiece_codec import _CODECS
+
+        for _ in batches:
+            codecs = list(_CODECS.values())
+            sizes = [len(c.memo) + len(c.memo.older) for c in codecs]
+            yield pa.RecordBatch.from_arrays([pa.array([len(codecs)]), pa.array([sum(sizes)])], names=["codecs", "kept"])
+
+    rows = spark.range(0, 400, 1, 4).mapInArrow(held, "codecs long, kept long").collect()
+    assert sum(r.codecs for r in rows) > 0 and sum(r.kept for r in rows) == 0
