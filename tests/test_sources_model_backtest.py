@@ -226,6 +226,14 @@ def test_early_stopping_keeps_the_first_trees_of_one_long_fit(spark, monkeypatch
             for m in (kept, long.model(best))
         )
         assert mine == other
+    # With half of patience spent, the rest of it is tried before a block is fitted in full.
+    flat = train.withColumn("label", F.pmod(F.xxhash64("zone_id", "target_hour_utc"), F.lit(7)).cast("double"))
+    apart = validation.withColumn("label", F.lit(3.0) + F.col("zone_id") % 2)
+    fitted.clear()
+    kept, best = model.fit_candidate(flat, apart, candidate, 24, 8, model.SEED, 6)
+    assert fitted == [6, 6, 3]
+    errors_flat = model.fit_rounds(flat, candidate, 24, block_rounds=6).model(24).evaluateEachIteration(apart, "absolute")
+    assert best == model.best_round(errors_flat, 8) == kept.getNumTrees
     # The errors of the blocks on what is left are those of the whole.
     left, seen = validation, []
     part = model.Growth(candidate, train, block=6)
@@ -236,6 +244,33 @@ def test_early_stopping_keeps_the_first_trees_of_one_long_fit(spark, monkeypatch
     assert seen == pytest.approx(errors[:12])
 
 
+def test_a_better_round_among_those_tried_gets_its_whole_block(monkeypatch):
+    errors = [5.0, 4.0, *[6.0] * 5, 3.0, *[7.0] * 16]
+    fitted = []
+
+    class Block:
+        def __init__(self, candidate, rounds, seed):
+            self.first, self.rounds = seed - model.SEED, rounds
+            fitted.append((self.first, rounds))
+
+        def fit(self, rows):
+            self.treeWeights, self._java_obj = [0.1] * self.rounds, self
+            return self
+
+        def trees(self):
+            return range(self.first, self.first + self.rounds)
+
+        def evaluateEachIteration(self, rows, loss):
+            return [errors[k] for k in self.trees()]
+
+    monkeypatch.setattr(model, "regressor", Block)
+    monkeypatch.setattr(model, "left_over", lambda rows, block: rows + [block.rounds])
+    monkeypatch.setattr(model.Growth, "model", lambda self, rounds: (self.trees[:rounds], self.rows))
+    (trees, taken_off), best = model.fit_candidate([], [], model.CANDIDATES[0], 24, 6, model.SEED, 6)
+    assert fitted == [(0, 6), (6, 2), (6, 6), (12, 2)]
+    assert best == model.best_round(errors, 6) == 8 and trees == [*range(8)] and taken_off == [6, 6]
+
+
 ZONES = [(1, "Queens", "A", "Boro"), (2, "Bronx", "B", "Boro"), (9, "Unknown", "N/A", "N/A")]
 
 
