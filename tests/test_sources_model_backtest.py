@@ -4,11 +4,12 @@ from datetime import timedelta
 import pytest
 from frames import TZ, local, rows_of, splits, utc
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from hourgrid.errors import ContractError, ParameterError
 from hourgrid.functions.calendar import LocalWindow
-from hourgrid.operators import classify, features, integrity, model, profile
+from hourgrid.operators import boosting, classify, features, integrity, model, profile
 from hourgrid.operators.grid import bag_diff_rows
 from hourgrid.plans.backtest import EXTRAS, TABLES, Backtest, BacktestConfig
 from hourgrid.schemas import FEATURES, GRID, LOOKUP, SERVED_FIELDS
@@ -473,3 +474,55 @@ def test_partitioned_tables_keep_their_partition_values_in_the_manifest(spark, t
     spark.range(20).select("id", (F.col("id") % 3).alias("p")).write.partitionBy("p").parquet(folder)
     files = integrity.folded(integrity.file_manifest(spark, "t", (folder,)))
     assert integrity.manifest_check(files, integrity.manifest({"t": spark.read.parquet(folder)})).isEmpty()
+
+
+def plain_gbt(candidate, rounds, seed):
+    return GBTRegressor(
+        featuresCol="features", labelCol="label", predictionCol="prediction_raw", lossType="squared",
+        maxDepth=candidate.max_depth, stepSize=candidate.step_size, maxBins=model.MAX_BINS,
+        minInstancesPerNode=candidate.min_rows_per_leaf, subsamplingRate=candidate.row_rate,
+        featureSubsetStrategy=str(candidate.feature_rate), maxIter=rounds, seed=seed,
+    )
+
+
+def test_trees_are_those_of_spark_ml(spark):
+    prepared = model.prepare(feature_frame(spark))
+    noise = F.pmod(F.xxhash64(*model.KEY), F.lit(1000)) / F.lit(777.0)
+    train = prepared.where("split = 'train'").withColumn("label", F.col("label") + noise)
+    for candidate in model.CANDIDATES:
+        mine, plain = (f(candidate, 5, 44).fit(train) for f in (model.regressor, plain_gbt))
+        assert [t.numNodes for t in mine.trees] == [t.numNodes for t in plain.trees]
+        assert mine.treeWeights == plain.treeWeights and mine.numFeatures == plain.numFeatures
+        sides = [
+            m.transform(prepared).select(*model.KEY, F.col("prediction_raw").alias(name))
+            for m, name in ((mine, "mine"), (plain, "plain"))
+        ]
+        apart = F.max(F.abs(F.col("mine") - F.col("plain")))
+        assert sides[0].join(sides[1], list(model.KEY)).agg(apart).first()[0] < 1e-9
+
+
+def test_a_fit_keeps_rows_as_bytes_and_its_blocks_do_not_matter(spark, monkeypatch):
+    train = model.prepare(feature_frame(spark)).where("split = 'train'")
+    packed, pack = [], boosting._packer
+
+    def seen(features, words):
+        packed.append((features, words))
+        return pack(features, words)
+
+    monkeypatch.setattr(boosting, "_packer", seen)
+    monkeypatch.setattr(boosting, "COLLECTED", 0)  # counts are added up by Catalyst
+    first = model.regressor(model.CANDIDATES[1], 4).fit(train)
+    monkeypatch.setattr(boosting, "COLLECTED", 1 << 21)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    try:
+        second = model.regressor(model.CANDIDATES[1], 4).fit(train)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert packed == [(14, 1)] * 2
+    assert first.toDebugString.split("\n")[1:] == second.toDebugString.split("\n")[1:]
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == 0
+    flat = train.withColumn("label", F.lit(3.0))
+    assert model.regressor(model.CANDIDATES[0], 2).fit(flat).transform(flat).where("prediction_raw <> 3").isEmpty()
+    with pytest.raises(ContractError, match="no rows"):
+        model.regressor(model.CANDIDATES[0], 2).fit(train.limit(0))
