@@ -485,7 +485,8 @@ def plain_gbt(candidate, rounds, seed):
     )
 
 
-def test_trees_are_those_of_spark_ml(spark):
+def test_trees_are_those_of_spark_ml(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "SMALL_ROWS", 0)
     prepared = model.prepare(feature_frame(spark))
     noise = F.pmod(F.xxhash64(*model.KEY), F.lit(1000)) / F.lit(777.0)
     train = prepared.where("split = 'train'").withColumn("label", F.col("label") + noise)
@@ -503,6 +504,7 @@ def test_trees_are_those_of_spark_ml(spark):
 
 def test_a_fit_keeps_rows_as_bytes_and_its_blocks_do_not_matter(spark, monkeypatch):
     train = model.prepare(feature_frame(spark)).where("split = 'train'")
+    monkeypatch.setattr(boosting, "SMALL_ROWS", 0)
     packed, pack = [], boosting._packer
 
     def seen(features, words):
